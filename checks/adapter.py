@@ -17,11 +17,14 @@ from rubrica.sources.extracts import type_extract
 #: Unique in the test tables; they stand for the place of a row in its file.
 FILE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
-_DIGITS = """'1' || CAST(1 + l_partkey % 2 AS STRING)
-    || CAST(1 + CAST(floor(l_partkey / 2) AS BIGINT) % 2 AS STRING)
-    || CAST(CAST(floor(l_partkey / 4) AS BIGINT) % 3 AS STRING)
-    || CAST(CAST(floor(l_partkey / 12) AS BIGINT) % 2 AS STRING)
-    || CAST(CAST(floor(l_orderkey / 4) AS BIGINT) % 3 AS STRING)"""
+
+def _classifier(part: str) -> str:
+    """The first five digits of a classifier as a number, from a part key."""
+    return (
+        f"100000 + 10000 * (1 + {part} % 2) + 1000 * (1 + {part} % 5 % 2) + 100 * ({part} % 3) "
+        f"+ 10 * ({part} % 7 % 2)"
+    )
+
 
 #: Whole amounts: sums of them are exact in floating point, in any order.
 _AMOUNTS = (
@@ -49,13 +52,11 @@ SELECT 'DemonstrativoConsolidado' || CASE l_returnflag WHEN 'A' THEN 'OrcamentoF
   '0' || CAST(l_suppkey % 5 AS STRING) || ' - FUNCAO' AS funcao,
   ' ' || l_linestatus || ' ' AS programa,
   CASE WHEN l_orderkey % 89 = 0 THEN ' ' ELSE '10' || CAST(l_linenumber % 2 AS STRING) END AS fr,
-  CASE WHEN l_orderkey % 41 = 0 THEN ''
-       WHEN l_orderkey % 4 = 0 THEN substr(d, 1, 2) || '0000'
-       WHEN l_orderkey % 4 = 1 THEN substr(d, 1, 3) || '000'
-       WHEN l_orderkey % 4 = 2 THEN substr(d, 1, 4) || '00' ELSE d END AS ced,
+  CASE WHEN l_orderkey % 41 = 0 THEN '' ELSE CAST(d - d % z AS STRING) END AS ced,
   {", ".join(_cell(i, a) for i, a in enumerate(_AMOUNTS))},
   CAST(discount AS STRING) AS execucao_percent
-FROM (SELECT *, {_DIGITS} AS d,
+FROM (SELECT *, {_classifier('l_partkey')} + l_orderkey % 3 AS d,
+    CASE l_orderkey % 4 WHEN 0 THEN 10000 WHEN 1 THEN 1000 WHEN 2 THEN 100 ELSE 1 END AS z,
     CAST(round(l_extendedprice * 100) AS BIGINT) AS price, CAST(round(l_quantity) AS BIGINT) AS quantity,
     CAST(round(l_discount * 100) AS BIGINT) AS discount, CAST(round(l_tax * 100) AS BIGINT) AS tax
   FROM {{lineitem}}) t"""
@@ -74,18 +75,13 @@ WHERE s_suppkey % 5 <> 0"""
 
 # Classifier and fund names share a sheet, each leaving the other's cells empty.
 # A code of the first two digits "11" was stored as a number and ends in ".0".
-NAMES_SHEET = """
-WITH prefixes AS (
-  SELECT DISTINCT '1' || CAST(1 + p_partkey % 2 AS STRING)
-      || CAST(1 + CAST(floor(p_partkey / 2) AS BIGINT) % 2 AS STRING)
-      || CAST(CAST(floor(p_partkey / 4) AS BIGINT) % 3 AS STRING)
-      || CAST(CAST(floor(p_partkey / 12) AS BIGINT) % 2 AS STRING) AS p5
-  FROM {part}),
+NAMES_SHEET = f"""
+WITH prefixes AS (SELECT DISTINCT {_classifier('p_partkey')} AS p FROM {{part}}),
 codes AS (
-  SELECT p5 || CAST(r_regionkey AS STRING) AS c FROM prefixes, {region} WHERE r_regionkey < 2
-  UNION SELECT substr(p5, 1, 4) || '00' FROM prefixes
-  UNION SELECT substr(p5, 1, 3) || '000' FROM prefixes
-  UNION SELECT substr(p5, 1, 2) || '0000' FROM prefixes)
+  SELECT CAST(p AS STRING) AS c FROM prefixes UNION SELECT CAST(p + 1 AS STRING) FROM prefixes
+  UNION SELECT CAST(p - p % 100 AS STRING) FROM prefixes
+  UNION SELECT CAST(p - p % 1000 AS STRING) FROM prefixes
+  UNION SELECT CAST(p - p % 10000 AS STRING) FROM prefixes)
 SELECT c || CASE WHEN substr(c, 1, 2) = '11' THEN '.0' ELSE '' END AS codigo,
   'Classificador ' || c AS designacao,
   CAST(NULL AS STRING) AS codigo_receita, CAST(NULL AS STRING) AS tipo_receita,
@@ -94,7 +90,7 @@ FROM codes
 UNION ALL
 SELECT NULL, NULL, '10' || CAST(r_regionkey AS STRING) || CASE WHEN r_regionkey = 0 THEN '.00' ELSE '' END,
   'Receita ' || r_name, CASE WHEN r_regionkey = 1 THEN 'Externo' ELSE 'Interno' END
-FROM {region}"""
+FROM {{region}}"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

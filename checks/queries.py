@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from rubrica.operators import sets as T
 from rubrica.plans import enrich as E
 from rubrica.plans import legacy as L
 from rubrica.plans import net as N
+from rubrica.session import apply_recommended
 from rubrica.sources.dimensions import unit_codes, unit_dimension
 from rubrica.sources.extracts import read_extracts, type_extract
 from rubrica.sources.sinks import scratch_folder, write_csv, write_parquet
@@ -37,7 +38,11 @@ def query(fn: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return {name: _with_settings(fn) for name, fn in _QUERIES.items()}
+
+
+def _with_settings(fn: Query) -> Query:
+    return wraps(fn)(lambda spark, d: fn(apply_recommended(spark), d))
 
 
 def _units(spark, d) -> DataFrame:

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from rubrica.session import apply_recommended
+
 
 def local_session(cpus: str | int | None = None) -> SparkSession:
     cpus = cpus or os.environ.get("BENCH_CPUS", "8")
@@ -19,4 +21,4 @@ def local_session(cpus: str | int | None = None) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return apply_recommended(spark)

@@ -65,7 +65,7 @@ def to_number(c: Column | str, metric_type: str = MONEY) -> Column:
     also take a type suffix ("1d"), and words for NaN and infinity.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.right(F.rtrim(c), F.lit(1)) <= "9", c.try_cast(metric_type))
+    return F.when(F.substring(F.rtrim(c), -1, 1) <= "9", c.try_cast(metric_type))
 
 
 def cast_metrics(df: DataFrame, metrics, metric_type: str = MONEY) -> DataFrame:

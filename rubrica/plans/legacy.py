@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import GROUP_UNIT, drop_all_zero, prefix_group
+from ..functions.keys import ced_prefix, drop_all_zero, prefix_group, unit_id, with_group_columns
 from ..functions.metadata import with_file_metadata
 from ..operators.columns import matching, unpivot
 from ..operators.groups import keep_first
-from ..operators.hierarchy import less, prepare_extract
-from ..operators.joins import lookup, null_safe_join
-from ..schema import BUDGET_METRICS, CLASSIFIER, EXPENSE_METRICS, ROW_ORDER, SOURCE_FILE, UNIT_KEY
+from ..operators.hierarchy import less
+from ..operators.joins import filter_valid, lookup, null_safe_join
+from ..schema import (
+    BUDGET_METRICS, CLASSIFIER, EXPENSE_METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, UNIT_KEY,
+)
 from ..sources.dimensions import Dimensions
 from .enrich import recode_central
 
@@ -25,8 +30,11 @@ DROPPED_HELPER = EXPENSE_METRICS[0]
 
 def legacy_base(typed: DataFrame, units: DataFrame, metrics=BUDGET_METRICS) -> DataFrame:
     """Rows of known units with a non-zero metric of the block, deduplicated by amount."""
-    block = typed.select(SOURCE_FILE, ROW_ORDER, *UNIT_KEY, CLASSIFIER, *metrics)
-    return dedup_by_amount(drop_all_zero(prepare_extract(block, units), metrics), metrics[0])
+    block = typed.select(
+        SOURCE_FILE, ROW_ORDER, unit_id().alias("ugb_id"), *UNIT_KEY, CLASSIFIER, *metrics
+    )
+    rows = drop_all_zero(filter_valid(block, units), metrics)
+    return with_group_columns(dedup_by_amount(rows, metrics[0]), PRODUCTION)
 
 
 def dedup_by_amount(df: DataFrame, amount: str) -> DataFrame:
@@ -35,13 +43,12 @@ def dedup_by_amount(df: DataFrame, amount: str) -> DataFrame:
     The number itself is the key.  A missing part, the amount included, makes the
     whole key missing: one such row per file is kept.
     """
-    keys = ["__k3", *[f"__k{c}" for c in GROUP_UNIT], "__kamount"]
-    parts = ["_c3", *GROUP_UNIT, amount]
-    missing = F.col(amount).isNull()
-    keyed = df.withColumns({k: F.when(~missing, F.col(p)) for k, p in zip(keys, parts)})
-    # A missing unit part blanks only the unit columns, so it must blank the amount too.
-    keyed = keyed.withColumn("__kamount", F.when(F.col("__k3").isNotNull(), F.col("__kamount")))
-    return keep_first(keyed, [SOURCE_FILE, *keys]).drop(*keys)
+    parts = {**{f"__{c}": F.col(c) for c in UNIT_KEY}, "__c3": ced_prefix(3), "__amount": F.col(amount)}
+    present = reduce(and_, [F.col(c).isNotNull() for c in (*UNIT_KEY, CLASSIFIER, amount)])
+    keyed = df.withColumn("__present", present).withColumns(
+        {name: F.when(F.col("__present"), c) for name, c in parts.items()}
+    ).drop("__present")
+    return keep_first(keyed, [SOURCE_FILE, *parts]).drop(*parts)
 
 
 def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS) -> DataFrame:
@@ -96,7 +103,8 @@ def legacy_block(
     adjusted = legacy_adjust(legacy_base(typed, units, metrics), metrics)
     shown = [m for m in metrics if not (drop_helper and m == DROPPED_HELPER)]
     slim = adjusted.select(SOURCE_FILE, "ugb_id", "funcao", "programa", "fr", "ced", *shown)
-    return with_file_metadata(unpivot(slim, shown), SOURCE_FILE).select(*LONG_COLUMNS)
+    # Metadata before the unpivot: it is worked out once per row, not once per metric.
+    return unpivot(with_file_metadata(slim, SOURCE_FILE), shown).select(*LONG_COLUMNS)
 
 
 def legacy_long(typed: DataFrame, units: DataFrame, drop_helper: bool = False) -> DataFrame:
