@@ -41,7 +41,8 @@ def read_table(
     lines = spark.read.text(path).select(at.alias("at"), "value")
     head = lines.orderBy("at").limit(skip + 1).collect()[-1]
     names = clean_names(next(csv.reader([head.value], delimiter=sep)))
-    body = lines.filter(F.col("at") > F.struct(F.lit(head["at"].block), F.lit(head["at"].seq)))
+    header_at = F.struct(*[F.lit(n).cast("long") for n in (head["at"].block, head["at"].seq)])
+    body = lines.filter(F.col("at") > header_at)
     schema = ",".join(f"`{n}` string" for n in names)
     cells = body.select(F.from_csv("value", F.lit(schema), {"sep": sep}).alias("r")).select("r.*")
     return tidy_text(cells, cells.columns)

@@ -67,7 +67,8 @@ def read_extracts(
 
     Files are grouped by header, one scan per distinct header, and put together
     by name; a column that a file lacks is NULL.  A file without a required
-    column lands in ``rejects`` and the others go on.
+    column lands in ``rejects`` and the others go on.  (A file of zero bytes is
+    in neither: Spark does not list it.)
 
     ``row_order`` is the place of a row in its file.  Parquet numbers its rows.
     In CSV it is the start of the split and the running number within the split:
