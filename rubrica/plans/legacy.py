@@ -79,10 +79,12 @@ def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS) -> DataFrame:
     rows = null_safe_join(base, stats, g4)
 
     in4, in3 = F.col("__in4"), F.col("__in3")
-    part = F.explode(F.array_compact(F.array(
-        F.when(in4, F.lit("4d")), F.when(in3, F.lit("3d")), F.when(~in4 & ~in3, F.lit("leaf")),
-    )))
-    out = rows.withColumn("part", part)
+    named = lambda *names: F.array(*map(F.lit, names))
+    parts = (
+        F.when(in4 & in3, named("4d", "3d")).when(in4, named("4d")).when(in3, named("3d"))
+        .otherwise(named("leaf"))
+    )
+    out = rows.withColumn("part", F.explode(parts))
     four = (F.col("part") == "4d") & ced.endswith("000")
     three = (F.col("part") == "3d") & ced.endswith("00")
     net = {
