@@ -42,23 +42,29 @@ def bitmap(sets: np.ndarray) -> bytes:
     return np.packbits(flags).tobytes()
 
 
-def prefix(sets: np.ndarray, frequent: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The elements of which sets that link share at least one, and the places of frequent ones, or -1.
-
-    Sets of n elements link only if they share ceil(0.75 n); so the first n minus that,
-    plus one, in an order common to all sets, hold a shared one.  The order is: elements
-    not known to be frequent by hash, then the frequent ones, rarest first.
-    """
-    n = len(sets)
-    size = n - (PERCENT * n + 99) // 100 + 1
-    if not len(frequent):
-        return sets[:size], np.full(min(size, n), -1)
-    at = np.minimum(np.searchsorted(frequent, sets), len(frequent) - 1)
-    hot = frequent[at] == sets
-    rare = sets[~hot][:size]
-    ranks = np.sort(place[at[hot]])[:size - len(rare)]
-    by_place = np.argsort(place)
-    return np.concatenate([rare, frequent[by_place[ranks]]]), np.concatenate([np.full(len(rare), -1), ranks])
+class Order:
+    """An order of elements common to all sets: those not known to be frequent by hash, then the frequent ones, rarest first."""
+
+    def __init__(self, frequent: np.ndarray):
+        self.frequent = frequent  # rarest first
+        self.rank = np.argsort(frequent)
+        self.keys = frequent[self.rank]
+
+    def prefix(self, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first elements, of which sets that link share at least one, and the ranks of frequent ones, or -1.
+
+        Sets of n elements link only if they share ceil(0.75 n) of them; so the first n
+        minus that, plus one, hold a shared one.
+        """
+        n = len(sets)
+        size = n - (PERCENT * n + 99) // 100 + 1
+        if not len(self.keys):
+            return sets[:size], np.full(size, -1)
+        at = np.minimum(np.searchsorted(self.keys, sets), len(self.keys) - 1)
+        hot = self.keys[at] == sets
+        rare = sets[~hot][:size]
+        ranks = np.sort(self.rank[at[hot]])[:size - len(rare)]
+        return np.concatenate([rare, self.frequent[ranks]]), np.concatenate([np.full(len(rare), -1), ranks])
 
 
 def _profiles(batches):
@@ -254,14 +260,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     often = (profiles.where("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
              .orderBy(F.desc("seen"), "shingle").limit(FREQUENT).toPandas())
     keys, seen = often["shingle"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64)
-    by_key, by_count = np.argsort(keys), np.lexsort((keys, seen))
-    frequent, rank = keys[by_key], np.empty(len(keys), np.int64)
-    rank[by_count] = np.arange(len(keys))
-    shared = spark.sparkContext.broadcast((frequent, rank[by_key], -(-seen[by_count] // TILE)))
+    rarest = np.lexsort((keys, seen))
+    shared = spark.sparkContext.broadcast((keys[rarest], -(-seen[rarest] // TILE)))
 
     def prefixes(batches):
         words, done = WordHashes(), set()
-        hot, place, parts = shared.value
+        frequent, parts = shared.value
+        order = Order(frequent)
         for batch in batches:
             out = ([], [], [], [])
             for i, text in zip(batch.column("i").to_pylist(), texts(batch.column("t"))):
@@ -271,7 +276,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 if len(done) > 1_000_000:
                     done.clear()
                 done.add(own)
-                first, ranks = prefix(s, hot, place)
+                first, ranks = order.prefix(s)
                 for column, values in zip(out, (
                         as_long(first), np.full(len(first), own), np.full(len(first), len(s)),
                         np.where(ranks >= 0, parts[ranks], 1) if len(parts) else np.ones(len(first), np.int64))):
