@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bloom_lm import Filter, build
 from .common import WordHashes, as_long, batches_of, materialise, ngram_hashes, texts
 from .components import components
 
@@ -16,8 +17,10 @@ WORDS, PERCENT = 5, 75
 #: Frequent shingles whose order is known, a matter of speed alone: how many, and how often
 #: a task must meet one in CHUNK shingles to report it.
 FREQUENT, REPORTED, CHUNK = 1 << 16, 3, 1 << 22
-#: Rows of a shingle's group in one tile.
-TILE = 4_096
+#: Bits of the filter that finds the texts of candidates, and of its segments.
+WANTED_BITS, WANTED_SEGMENT = 1 << 26, 1 << 18
+#: Rows of a shingle's group in one tile, and rows of small tiles that are compared at once.
+TILE, CANDIDATE_ROWS = 4_096, 1 << 14
 
 
 def shingles(words: WordHashes, text: bytes) -> np.ndarray:
@@ -127,93 +130,108 @@ class Bitmaps:
         return out
 
 
-def paired(run: np.ndarray, part: np.ndarray, label: np.ndarray, n: np.ndarray, bits: list[bytes], cross: np.ndarray, reach: int | None):
-    """Pairs (i, j, differing) of rows of one run, sorted by n, that may link.
+def may_link(maps: Bitmaps, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the bitmaps' bound of the overlap of rows i and j allows a link: 7 * overlap >= 3 * (sizes)."""
+    total = n[i] + n[j]
+    return (100 + PERCENT) * (total - maps.differing(i, j)) >= 2 * PERCENT * total
+
+
+def _bounded(batches):
+    """Pairs (set_id, n, bits) and (other, less, fewer), the other not larger, to those that may link."""
+    for batch in batches:
+        rows = batch.num_rows
+        if rows:
+            n = np.concatenate([batch.column("less").to_numpy(), batch.column("n").to_numpy()])
+            maps = Bitmaps(n, batch.column("fewer").to_pylist() + batch.column("bits").to_pylist())
+            good = pa.array(may_link(maps, n, np.arange(rows), np.arange(rows, 2 * rows)))
+            yield pa.RecordBatch.from_arrays([batch.column("other").filter(good), batch.column("set_id").filter(good)], ["a", "b"])
+
+
+def paired(run: np.ndarray, part: np.ndarray, label: np.ndarray, n: np.ndarray, bits: list[bytes], cross: np.ndarray):
+    """Pairs (i, j) of rows of one run, sorted by n, that may link.
 
     Sizes bound the ratio, labels must differ, rows of crossed tiles must be of different
-    parts, and the bitmaps' bound of the overlap must suffice: 7 * overlap >= 3 * (sizes).
-    `reach` is how many places apart the rows of a pair lie at most, None for all.
+    parts, and the bitmaps must allow the overlap.
     """
     maps = Bitmaps(n, bits)
     left = np.arange(len(run))
     step = 0
-    while True:
+    while len(left):
         step += 1
         left = left[left + step < len(run)]
         right = left + step
         # Rows of a run are sorted by size: what is too small now stays so.
         left = left[(run[left] == run[right]) & (100 * n[left] >= PERCENT * n[right])]
-        if not len(left) or (reach is not None and step > reach):
-            return
         right = left + step
         ok = (label[left] != label[right]) & (~cross[left] | (part[left] != part[right]))
         i, j = left[ok], right[ok]
         if len(i):
-            apart = maps.differing(i, j)
-            total = n[i] + n[j]
-            good = (100 + PERCENT) * (total - apart) >= 2 * PERCENT * total
-            if good.any():
-                yield i[good], j[good], apart[good]
+            good = may_link(maps, n, i, j)
+            yield i[good], j[good]
 
 
-def _candidates(reach: int | None):
-    """Arrow batches sorted by (key, one, two, n) to pairs (a, b, apart); a run may go over several batches."""
-    columns = ["key", "one", "two", "part", "label", "set_id", "n"]
+def _candidates(batches):
+    """Arrow batches sorted by (key, one, two, n) to pairs (a, b); a run may go over several batches."""
+    tile = ("key", "one", "two")
 
-    def pairs(table):
+    def pairs(tables):
+        table = pa.concat_tables(tables).combine_chunks()
         if not table.num_rows:
             return
-        col = {c: table.column(c).to_numpy() for c in columns}
+        col = {c: table.column(c).to_numpy() for c in (*tile, "part", "label", "set_id", "n")}
         change = np.zeros(table.num_rows, bool)
-        for c in ("key", "one", "two"):
+        for c in tile:
             change[1:] |= col[c][1:] != col[c][:-1]
-        for i, j, apart in paired(np.cumsum(change), col["part"], col["label"], col["n"],
-                                  table.column("bits").to_pylist(), col["one"] != col["two"], reach):
+        for i, j in paired(np.cumsum(change), col["part"], col["label"], col["n"].astype(np.int64),
+                           table.column("bits").to_pylist(), col["one"] != col["two"]):
             a, b = col["set_id"][i], col["set_id"][j]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(apart)], ["a", "b", "apart"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    def rows(batches):
-        held, waiting = None, []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            last = tuple(table.column(c)[-1].as_py() for c in ("key", "one", "two"))
-            same = np.ones(table.num_rows, bool)
-            for c, v in zip(("key", "one", "two"), last):
-                same &= table.column(c).to_numpy() == v
-            cut = int(np.argmax(same))  # where the last run begins
-            if held == last and cut == 0:
-                waiting.append(table)
-                continue
-            yield from pairs(pa.concat_tables([*waiting, table.slice(0, cut)]))
-            waiting, held = [table.slice(cut)], last
-        if waiting:
-            yield from pairs(pa.concat_tables(waiting))
-
-    return rows
+    last, waiting = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        ends = tuple(table.column(c)[-1].as_py() for c in tile)
+        same = np.ones(table.num_rows, bool)
+        for c, v in zip(tile, ends):
+            same &= table.column(c).to_numpy() == v
+        cut = int(np.argmax(same))  # where the last run begins
+        if cut or ends != last:  # what came before is whole runs
+            waiting.append(table.slice(0, cut))
+            if sum(t.num_rows for t in waiting) >= CANDIDATE_ROWS:
+                yield from pairs(waiting)
+                waiting = []
+            table = table.slice(cut)
+        waiting.append(table)
+        last = ends
+    if waiting:
+        yield from pairs(waiting)
 
 
 def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that link, by exact intersection of their sorted arrays.
 
-    Sets of the candidates alone are made again, from one text each.
+    Sets of the candidates alone are made again, from one text each.  A Bloom filter of
+    fixed size over their ids spares the other texts, so that no text is shuffled; what
+    passes by chance goes in the exact join.
     """
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    chosen = classes.join(wanted, "set_id").select("set_id", F.col("least").alias("i"))
+    wanted = materialise(candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "wanted")
+    ids = classes.join(wanted, "set_id").select(F.xxhash64("least").alias("key"), F.lit(1).alias("n"))
+    passing = rows.sparkSession.sparkContext.broadcast(build(ids, WANTED_BITS, WANTED_SEGMENT))
 
     def sets(batches):
-        words = WordHashes()
+        words, known = WordHashes(), Filter(passing.value, WANTED_SEGMENT)
         for batch in batches:
-            made = [shingles(words, t) for t in texts(batch.column("t"))]
+            some = known.level(batch.column("h").to_numpy().view(np.uint64)) > 0
+            made = [shingles(words, t) for t in texts(batch.column("t").filter(pa.array(some)))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([fingerprint(s) if len(s) else None for s in made], pa.int64()),
-                 pa.array([np.sort(as_long(s)) for s in made], pa.list_(pa.int64()))], ["set_id", "elements"])
+                 pa.array([as_long(s) for s in made], pa.list_(pa.int64()))], ["set_id", "elements"])
 
     bodies = materialise(
-        rows.join(chosen.select("i"), "i", "left_semi").select("t").mapInArrow(sets, "set_id long, elements array<long>")
-        .join(chosen.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]), "sets")
+        rows.where("i is not null").select(F.xxhash64("i").alias("h"), "t").mapInArrow(sets, "set_id long, elements array<long>")
+        .join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "sets")
     left = bodies.select(F.col("set_id").alias("a"), F.col("elements").alias("x"))
     right = bodies.select(F.col("set_id").alias("b"), F.col("elements").alias("y"))
 
@@ -288,27 +306,27 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = rows.mapInArrow(prefixes, "key long, set_id long, n long, parts long").select(
         "key", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("set_id"), "parts")).otherwise(F.lit(0)).cast("int").alias("part"),
         F.col("n").cast("int").alias("n"), "set_id", F.col("parts").cast("int").alias("parts"))
-    # A row is of use only if the next smaller or larger one of its group is near in size,
-    # or if its group has several parts.
+    # Copies that several tasks met go; then a row is of use only if the next smaller or
+    # larger one of its group is near in size, or if its group has several parts.
     order = Window.partitionBy("key", "part").orderBy("n", "set_id")
-    fits = lambda small, large: 100 * small >= PERCENT * large
-    near = (fits(F.lag("n").over(order), F.col("n")) | F.coalesce(fits(F.col("n"), F.lead("n").over(order)), F.lit(False))
-            | (F.col("parts") > 1))
-    useful = keyed.withColumn("near", F.coalesce(near, F.lit(False) | (F.col("parts") > 1))).where("near").drop("near")
-    tiles = materialise(useful.distinct().join(classes.select("set_id", "bits"), "set_id"), "tiles")
-
-    def swept(table: DataFrame, reach: int | None) -> DataFrame:
-        """Candidates of labelled tile rows (key, one, two, part, label, set_id, n, bits)."""
-        ordered = table.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id")
-        return ordered.select("key", "one", "two", "part", "label", "set_id", "n", "bits").mapInArrow(
-            _candidates(reach), "a long, b long, apart long")
-
-    def best(found: DataFrame) -> DataFrame:
-        """The nearest partner of each set alone."""
-        return found.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a"))
-
-    plain = tiles.withColumn("one", F.col("part")).withColumn("two", F.col("part")).withColumn("label", F.col("set_id"))
-    links = materialise(_verified(materialise(best(swept(plain, 1)), "pairs"), classes, rows), "near")
+    fits = lambda small, large: F.coalesce(100 * small >= PERCENT * large, F.lit(False))
+    single = keyed.withColumn("again", F.coalesce(F.lag("set_id").over(order) == F.col("set_id"), F.lit(False))).where("not again")
+    near = fits(F.lag("n").over(order), F.col("n")) | fits(F.col("n"), F.lead("n").over(order)) | (F.col("parts") > 1)
+    tiles = materialise(single.drop("again").withColumn("near", near).where("near").drop("near"), "tiles")
+
+    def neighbours(table: DataFrame, *group: str) -> DataFrame:
+        """For each set the neighbour in size, over all groups, that it most often meets and whose bitmap lets them link."""
+        order = Window.partitionBy(*group).orderBy("n", "set_id")
+        met = (table.select("set_id", F.lag("set_id").over(order).alias("other"), F.lag("n").over(order).alias("less"), "n")
+               .where(fits(F.col("less"), F.col("n")) & (F.col("set_id") != F.col("other")))
+               .groupBy("set_id", "other").agg(F.count("*").alias("times")))
+        chosen = met.groupBy("set_id").agg(F.max_by("other", F.struct("times", "other")).alias("other"))
+        one = classes.select("set_id", "n", "bits")
+        two = classes.select(F.col("set_id").alias("other"), F.col("n").alias("less"), F.col("bits").alias("fewer"))
+        return (chosen.join(one, "set_id").join(two, "other")
+                .select("set_id", "other", "n", "less", "bits", "fewer").mapInArrow(_bounded, "a long, b long"))
+
+    links = materialise(_verified(materialise(neighbours(tiles, "key", "part"), "pairs"), classes, rows), "near")
     stars = components(links)
 
     def labelled() -> DataFrame:
@@ -320,15 +338,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Representatives of a component in a group stand for it, whatever part they are of.
     own = labelled()
-    heads = own.groupBy("key", "label").agg(F.min_by(F.struct("n", "set_id", "bits"), F.struct("n", "set_id")).alias("head"))
-    heads = heads.select("key", "label", "head.*", *[F.lit(0).alias(c) for c in ("one", "two", "part")])
-    more = materialise(_verified(materialise(best(swept(heads, 1)), "pairs"), classes, rows), "near")
+    heads = own.groupBy("key", "label").agg(F.min(F.struct("n", "set_id")).alias("head")).select("key", "head.*")
+    more = materialise(_verified(materialise(neighbours(heads, "key"), "pairs"), classes, rows), "near")
     links = links.unionByName(more)
     stars = components(links)
     # In full: each part against itself and against the others.
     own = labelled().withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
-    crossed = own.withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other"))
-    rest = materialise(swept(crossed, None).select("a", "b").distinct(), "pairs")
+    crossed = (own.withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other"))
+               .join(classes.select("set_id", "bits"), "set_id")
+               .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id")
+               .select("key", "one", "two", "part", "label", "set_id", "n", "bits"))
+    rest = materialise(crossed.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
     links = links.unionByName(materialise(_verified(rest, classes, rows), "near"))
     stars = components(links)
 
