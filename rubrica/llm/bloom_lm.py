@@ -203,7 +203,7 @@ def scored(
 
     Tokens are words, A-Z in lower case, and one end per text.  Counts of tokens and of
     token pairs are learned from rows whose CRC-32 remainder is not `fold`.  base_score
-    uses exact token counts: those of the `frequent` commonest words are in every worker,
+    uses exact token counts: those of the commonest words, `frequent` at most, are in every worker,
     rarer tokens of a text are joined with the count table.  score is the log10
     probability of a pair model: counts are quantised by logarithm and stored as a
     unary run of entries in a Bloom filter of fixed size, which workers probe level by
@@ -237,7 +237,16 @@ def scored(
         least = level
     table = build(grams.where(F.col("n") >= 2 ** least), bits, segment_bits) if least is not None else np.zeros(bits // 8, np.uint8)
     shared = spark.sparkContext.broadcast(table)
-    top = words.orderBy(F.desc("n"), "key").limit(frequent).toPandas()
+    # The commonest words, down to the lowest level that leaves no more than `frequent`.
+    level = F.floor(F.log2("n") * FINENESS + 1e-9)
+    steps, have = {r["l"]: r["k"] for r in words.groupBy(level.alias("l")).agg(F.count("*").alias("k")).collect()}, 0
+    lowest = max(steps, default=0) + 1
+    for step in sorted(steps, reverse=True):
+        have += steps[step]
+        if have > frequent:
+            break
+        lowest = step
+    top = words.where(level >= lowest).toPandas()
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], top["n"].to_numpy(np.int64)[order]))

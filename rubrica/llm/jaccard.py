@@ -17,6 +17,10 @@ WORDS, PERCENT = 5, 75
 #: Frequent shingles whose order is known, a matter of speed alone: how many, and how often
 #: a task must meet one in CHUNK shingles to report it.
 FREQUENT, REPORTED, CHUNK = 1 << 16, 3, 1 << 22
+#: How much wider the bitmaps are that compare groups of more than two, and all candidates.
+WIDER = 4
+#: Neighbours that a set is tried with at first, and sweeps over representatives (speed alone).
+PARTNERS, SWEEPS = 3, 2
 #: Bits of the filter that finds the texts of candidates, and of its segments.
 WANTED_BITS, WANTED_SEGMENT = 1 << 26, 1 << 18
 #: Rows of a shingle's group in one tile, and rows of small tiles that are compared at once.
@@ -38,8 +42,8 @@ def width_of(n):
     return np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
 
 
-def bitmap(sets: np.ndarray) -> bytes:
-    width = int(width_of(len(sets)))
+def bitmap(sets: np.ndarray, times: int = 1) -> bytes:
+    width = int(width_of(len(sets))) * times
     flags = np.zeros(width, bool)
     flags[(sets & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(flags).tobytes()
@@ -71,7 +75,7 @@ class Order:
 
 
 def _profiles(batches):
-    """(i, n, set_id, bits) of each text, and (shingle, seen) of those that the task meets often."""
+    """(i, n, set_id, bits, wide) of each text, and (shingle, seen) of those that the task meets often."""
     words, held, seen, size = WordHashes(), [], set(), 0
 
     def flush():
@@ -79,10 +83,10 @@ def _profiles(batches):
         often = counts >= REPORTED
         rows = int(often.sum())
         return pa.RecordBatch.from_arrays(
-            [pa.nulls(rows, kind), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()),
+            [pa.nulls(rows, kind), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary()),
              pa.array(as_long(found[often])), pa.array(counts[often].astype(np.int64))], names)
 
-    names, kind = ["i", "n", "set_id", "bits", "shingle", "seen"], None
+    names, kind = ["i", "n", "set_id", "bits", "wide", "shingle", "seen"], None
     for batch in batches:
         kind = batch.column("i").type
         sets = [shingles(words, t) for t in texts(batch.column("t"))]
@@ -90,6 +94,7 @@ def _profiles(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column("i"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
              pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
+             pa.array([bitmap(s, WIDER) if len(s) else None for s in sets], pa.binary()),
              pa.nulls(len(sets), pa.int64()), pa.nulls(len(sets), pa.int64())], names)
         for s, i in zip(sets, ids):
             if i is not None and i not in seen:
@@ -104,11 +109,11 @@ def _profiles(batches):
 
 
 class Bitmaps:
-    """Bitmaps of rows, as matrices by width."""
+    """Bitmaps of rows, as matrices by width.  A wide one folds to a narrow one by halves."""
 
-    def __init__(self, n: np.ndarray, bits: list[bytes]):
-        self.width = width_of(n)
-        self.row = np.zeros(len(n), np.int64)
+    def __init__(self, bits: list[bytes]):
+        self.width = 8 * np.array([len(b) for b in bits], np.int64)
+        self.row = np.zeros(len(bits), np.int64)
         self.matrix = {}
         for w in np.unique(self.width):
             some = np.flatnonzero(self.width == w)
@@ -124,8 +129,7 @@ class Bitmaps:
                 if len(at):
                     a, b = self.matrix[w][self.row[i[at]]], self.matrix[wide][self.row[j[at]]]
                     if wide > w:
-                        half = w // 64 if w >= 64 else 1
-                        b = b[:, :half] | b[:, half:]
+                        b = b[:, :w // 64] | b[:, w // 64:]
                     out[at] = np.bitwise_count(a ^ b).sum(axis=1)
         return out
 
@@ -142,7 +146,7 @@ def _bounded(batches):
         rows = batch.num_rows
         if rows:
             n = np.concatenate([batch.column("less").to_numpy(), batch.column("n").to_numpy()])
-            maps = Bitmaps(n, batch.column("fewer").to_pylist() + batch.column("bits").to_pylist())
+            maps = Bitmaps(batch.column("fewer").to_pylist() + batch.column("bits").to_pylist())
             good = pa.array(may_link(maps, n, np.arange(rows), np.arange(rows, 2 * rows)))
             yield pa.RecordBatch.from_arrays([batch.column("other").filter(good), batch.column("set_id").filter(good)], ["a", "b"])
 
@@ -153,7 +157,7 @@ def paired(run: np.ndarray, part: np.ndarray, label: np.ndarray, n: np.ndarray,
     Sizes bound the ratio, labels must differ, rows of crossed tiles must be of different
     parts, and the bitmaps must allow the overlap.
     """
-    maps = Bitmaps(n, bits)
+    maps = Bitmaps(bits)
     left = np.arange(len(run))
     step = 0
     while len(left):
@@ -210,12 +214,23 @@ def _candidates(batches):
 
 
 def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs (a, b) of sets that link, by exact intersection of their sorted arrays.
+    """The pairs (a, b) of sets that link: wide bitmaps first, then exact intersection of sorted arrays.
 
     Sets of the candidates alone are made again, from one text each.  A Bloom filter of
     fixed size over their ids spares the other texts, so that no text is shuffled; what
     passes by chance goes in the exact join.
     """
+    one = classes.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa"))
+    two = classes.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
+    small = F.col("na") <= F.col("nb")
+
+    def either(x: str, y: str) -> list:
+        return [F.when(small, F.col(x)).otherwise(F.col(y)), F.when(small, F.col(y)).otherwise(F.col(x))]
+
+    columns = [c.alias(k) for names, pair in ((("other", "set_id"), ("a", "b")), (("less", "n"), ("na", "nb")), (("fewer", "bits"), ("wa", "wb")))
+               for k, c in zip(names, either(*pair))]
+    candidates = materialise(
+        candidates.join(one, "a").join(two, "b").select(*columns).mapInArrow(_bounded, "a long, b long"), "bounded")
     wanted = materialise(candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "wanted")
     ids = classes.join(wanted, "set_id").select(F.xxhash64("least").alias("key"), F.lit(1).alias("n"))
     passing = rows.sparkSession.sparkContext.broadcast(build(ids, WANTED_BITS, WANTED_SEGMENT))
@@ -270,11 +285,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
     profiles = materialise(
-        rows.mapInArrow(_profiles, f"i {kind}, n long, set_id long, bits binary, shingle long, seen long"), "profiles")
+        rows.mapInArrow(_profiles, f"i {kind}, n long, set_id long, bits binary, wide binary, shingle long, seen long"), "profiles")
     each = profiles.where("shingle is null")
     classes = materialise(
         each.where("set_id is not null and i is not null").groupBy("set_id").agg(
-            F.min("i").alias("least"), F.max("n").alias("n"), F.max("bits").alias("bits")), "classes")
+            F.min("i").alias("least"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.max("wide").alias("wide")), "classes")
     often = (profiles.where("shingle is not null").groupBy("shingle").agg(F.sum("seen").alias("seen"))
              .orderBy(F.desc("seen"), "shingle").limit(FREQUENT).toPandas())
     keys, seen = often["shingle"].to_numpy(np.int64).view(np.uint64), often["seen"].to_numpy(np.int64)
@@ -315,12 +330,15 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tiles = materialise(single.drop("again").withColumn("near", near).where("near").drop("near"), "tiles")
 
     def neighbours(table: DataFrame, *group: str) -> DataFrame:
-        """For each set the neighbour in size, over all groups, that it most often meets and whose bitmap lets them link."""
+        """For each set those neighbours in size, over all groups, that it most often meets and whose bitmaps let them link."""
         order = Window.partitionBy(*group).orderBy("n", "set_id")
-        met = (table.select("set_id", F.lag("set_id").over(order).alias("other"), F.lag("n").over(order).alias("less"), "n")
+        before = F.array(*[
+            F.struct(F.lag("set_id", k).over(order).alias("other"), F.lag("n", k).over(order).alias("less")) for k in range(1, PARTNERS + 1)])
+        met = (table.select("set_id", "n", before.alias("before")).select("set_id", "n", F.inline("before"))
                .where(fits(F.col("less"), F.col("n")) & (F.col("set_id") != F.col("other")))
                .groupBy("set_id", "other").agg(F.count("*").alias("times")))
-        chosen = met.groupBy("set_id").agg(F.max_by("other", F.struct("times", "other")).alias("other"))
+        place = F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("times"), "other"))
+        chosen = met.withColumn("place", place).where(F.col("place") <= PARTNERS).select("set_id", "other")
         one = classes.select("set_id", "n", "bits")
         two = classes.select(F.col("set_id").alias("other"), F.col("n").alias("less"), F.col("bits").alias("fewer"))
         return (chosen.join(one, "set_id").join(two, "other")
@@ -333,21 +351,25 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """Tile rows with component labels, of keys that hold several."""
         own = tiles.join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
             "label", F.coalesce("component", "set_id")).drop("component")
-        several = own.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-        return materialise(own.join(several, "key", "left_semi"), "labelled")
-
-    # Representatives of a component in a group stand for it, whatever part they are of.
-    own = labelled()
-    heads = own.groupBy("key", "label").agg(F.min(F.struct("n", "set_id")).alias("head")).select("key", "head.*")
-    more = materialise(_verified(materialise(neighbours(heads, "key"), "pairs"), classes, rows), "near")
-    links = links.unionByName(more)
-    stars = components(links)
+        several = own.groupBy("key").agg(
+            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
+        return materialise(own.join(several, "key"), "labelled")
+
+    # Representatives of a component in a group stand for it, whatever part they are of;
+    # each sweep takes others.
+    for sweep in range(SWEEPS):
+        pick = F.min_by(F.struct("n", "set_id"), F.xxhash64("set_id", F.lit(sweep)))
+        heads = labelled().groupBy("key", "label").agg(pick.alias("head")).select("key", "head.*")
+        more = materialise(_verified(materialise(neighbours(heads, "key"), "pairs"), classes, rows), "near")
+        links = links.unionByName(more)
+        stars = components(links)
     # In full: each part against itself and against the others.
     own = labelled().withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     crossed = (own.withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other"))
-               .join(classes.select("set_id", "bits"), "set_id")
-               .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id")
-               .select("key", "one", "two", "part", "label", "set_id", "n", "bits"))
+               .join(classes.select("set_id", F.col("bits").alias("narrow"), "wide"), "set_id")
+               .withColumn("bits", F.when(F.col("size") > 2, F.col("wide")).otherwise(F.col("narrow")))
+               .select("key", "one", "two", "part", "label", "set_id", "n", "bits")
+               .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id"))
     rest = materialise(crossed.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
     links = links.unionByName(materialise(_verified(rest, classes, rows), "near"))
     stars = components(links)
