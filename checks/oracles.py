@@ -364,16 +364,17 @@ def oracle_sql() -> dict[str, str]:
         "report_inventory": _with(
             f"SELECT DISTINCT {', '.join(META_COLUMNS[:3])} FROM processed", _meta("valid")),
         "finest_level_keys": _with("""
-            SELECT id_row_ced_2d, CASE WHEN bool_or(ced_group = 'A') THEN 'A'
+            SELECT source_file, id_row_ced_2d, CASE WHEN bool_or(ced_group = 'A') THEN 'A'
               WHEN bool_or(ced_group = 'B') THEN 'B' WHEN bool_or(ced_group = 'C') THEN 'C'
-              ELSE 'D' END AS finest_level FROM flagged GROUP BY id_row_ced_2d"""),
+              ELSE 'D' END AS finest_level FROM flagged WHERE ced IS NOT NULL GROUP BY source_file, id_row_ced_2d"""),
         "level_key_sets": _with(
-            """SELECT id, 'with_c' AS side FROM c UNION ALL
-            SELECT id, 'without_c' FROM (SELECT id_row_ced_2d AS id FROM valid EXCEPT SELECT id FROM c)""",
-            ("c", "SELECT DISTINCT id_row_ced_2d AS id FROM valid WHERE ced_group = 'C'")),
+            """SELECT source_file, id, 'with_c' AS side FROM c UNION ALL
+            SELECT source_file, id, 'without_c' FROM
+              (SELECT source_file, id_row_ced_2d AS id FROM valid EXCEPT SELECT source_file, id FROM c)""",
+            ("c", "SELECT DISTINCT source_file, id_row_ced_2d AS id FROM valid WHERE ced_group = 'C'")),
         "used_keys": _with("""
-            SELECT id_row_ced_2d AS id FROM valid UNION SELECT id_row_ced_3d FROM valid
-            UNION SELECT id_row_ced_4d FROM valid WHERE ced_group = 'A'"""),
+            SELECT source_file, id_row_ced_2d AS id FROM valid UNION SELECT source_file, id_row_ced_3d FROM valid
+            UNION SELECT source_file, id_row_ced_4d FROM valid WHERE ced_group = 'A'"""),
         "duplicate_check": _net(
             columns=["source_file", "id_row_ced_4d", "n"], source="repeated",
             then=[("repeated", "SELECT source_file, id_row_ced_4d, count(*) AS n FROM kept "

@@ -391,7 +391,7 @@ def level_key_sets(spark, d):
     rows = _valid(spark, d)
     sides = {"with_c": T.keys_with_level, "without_c": T.keys_without_level}
     return _union(*[
-        fn(rows, "id_row_ced_2d", "C").select(F.col("id_row_ced_2d").alias("id"), F.lit(side).alias("side"))
+        fn(rows, "id_row_ced_2d", "C").select("source_file", F.col("id_row_ced_2d").alias("id"), F.lit(side).alias("side"))
         for side, fn in sides.items()
     ])
 

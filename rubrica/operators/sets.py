@@ -1,28 +1,32 @@
-"""Sets of group keys."""
+"""Sets of group keys; a key belongs to its file, so every set holds both."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schema import CLASSIFIER, SOURCE_FILE
+
 
 def finest_level_keys(df: DataFrame, key: str = "id_row_ced_2d") -> DataFrame:
     """Each key once, with the finest level present under it.
 
     That is the union of: keys with an A; with a B and no A; with a C and neither;
     the rest.  A minimum over the level letters says the same in one aggregation.
+    Rows without classifier are left out.
     """
+    df = df.filter(F.col(CLASSIFIER).isNotNull())
     finest = F.coalesce(F.min("ced_group"), F.lit("D"))
-    return df.groupBy(key).agg(finest.alias("finest_level"))
+    return df.groupBy(SOURCE_FILE, key).agg(finest.alias("finest_level"))
 
 
 def keys_with_level(df: DataFrame, key: str, level: str) -> DataFrame:
-    return df.filter(F.col("ced_group") == level).select(key).distinct()
+    return df.filter(F.col("ced_group") == level).select(SOURCE_FILE, key).distinct()
 
 
 def keys_without_level(df: DataFrame, key: str, level: str) -> DataFrame:
     """Set difference: all keys less those with the level."""
-    return df.select(key).subtract(keys_with_level(df, key, level))
+    return df.select(SOURCE_FILE, key).subtract(keys_with_level(df, key, level))
 
 
 def used_keys(df: DataFrame) -> DataFrame:
@@ -36,4 +40,4 @@ def used_keys(df: DataFrame) -> DataFrame:
         "id_row_ced_2d", "id_row_ced_3d",
         F.when(F.col("ced_group") == "A", F.col("id_row_ced_4d")).otherwise(F.col("id_row_ced_2d")),
     )
-    return df.select(F.explode(ids).alias("id")).distinct()
+    return df.select(SOURCE_FILE, F.explode(ids).alias("id")).distinct()

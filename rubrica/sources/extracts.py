@@ -8,12 +8,15 @@ file name) or, where a report is too large for one file, a folder
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote, urlparse
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException as SparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,17 +41,25 @@ def file_pattern(extension: str) -> str:
     return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in extension)
 
 
-def list_files(spark: SparkSession, path: str, extension: str) -> list[str]:
-    """Paths of the files with this extension directly under ``path``.
+def literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def list_files(spark: SparkSession, path: str, extension: str, layout: str = "file") -> list[str]:
+    """Paths of the files with this extension directly under ``path``, or in its report folders.
 
     Only the listing is read, no content.  It holds one entry per file, as the
-    file index of the scan itself does.
+    file index of the scan itself does.  The glob names the files themselves, so
+    other subfolders are not entered, whatever they are called.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", file_pattern(extension))
-        .load(path)
-    )
+    below = file_pattern(extension) if layout == "file" else f"{SOURCE_FILE}=*/{file_pattern(extension)}"
+    try:
+        files = spark.read.format("binaryFile").load(f"{literal_path(path.rstrip('/'))}/{below}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
     return sorted(r.path for r in files.select("path").collect())
 
 
@@ -67,7 +78,8 @@ def read_extracts(
 
     Files are grouped by header, one scan per distinct header, and put together
     by name; a column that a file lacks is NULL.  A file without a required
-    column lands in ``rejects`` and the others go on.  (A file of zero bytes is
+    column, or one whose header cannot be read, lands in ``rejects`` with the
+    reason, its report is left out as a whole, and the other reports go on.  (A file of zero bytes is
     in neither: Spark does not list it.)
 
     ``row_order`` is the place of a row in its file.  Parquet numbers its rows.
@@ -77,16 +89,19 @@ def read_extracts(
     """
     if layout not in ("file", "folder"):
         raise ValueError("layout must be 'file' or 'folder'")
-    files = list_files(spark, path, fmt)
+    files = list_files(spark, path, fmt, layout)
     with ThreadPoolExecutor(header_threads) as pool:
         headers = list(pool.map(lambda f: _header(spark, f, fmt, sep), files))
 
-    groups, rejects = defaultdict(list), []
+    groups, rejects, rejected_reports = defaultdict(list), [], set()
     for file, header in zip(files, headers):
-        missing = [c for c in required if c not in clean_names(header)]
+        missing = [c for c in required if c not in clean_names(header)] if isinstance(header, list) else [header]
         if missing:
             rejects.append((_report_name(file, layout), file, missing))
-        else:
+            rejected_reports.add(_report_name(file, layout))
+    for file, header in zip(files, headers):
+        # Half a report has wrong totals: one bad part rejects the others.
+        if _report_name(file, layout) not in rejected_reports:
             groups[tuple(header)].append(file)
 
     rejected = spark.createDataFrame(rejects, REJECT_SCHEMA)
@@ -103,9 +118,14 @@ def read_extracts(
     return Extracts(rows, rejected)
 
 
-def _header(spark, file, fmt, sep) -> list[str]:
+def _header(spark, file, fmt, sep) -> list[str] | str:
+    """The header of a file, or why it cannot be read."""
+    file = literal_path(file)
     if fmt == "parquet":
-        return [c for c in spark.read.parquet(file).columns]
+        try:
+            return [c for c in spark.read.parquet(file).columns]
+        except (AnalysisException, Py4JJavaError, SparkException) as e:
+            return f"unreadable: {type(e).__name__}"
     first = spark.read.text(file).first()
     return next(csv.reader([first[0].lstrip("﻿")], delimiter=sep), []) if first else []
 
@@ -137,8 +157,10 @@ def _scan(spark, root, files, header, fmt, layout, sep, infer_types) -> DataFram
             F.lit(0).cast("long").alias("block"),
             F.col("_metadata.row_index").alias("seq"),
         )
-    df = reader.format(fmt).load(files)
-    report = F.col("_metadata.file_name") if layout == "file" else F.col(SOURCE_FILE)
+    df = reader.format(fmt).load([literal_path(f) for f in files])
+    # File names come percent-encoded; a plus sign is itself there.
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    report = decoded if layout == "file" else F.col(SOURCE_FILE)
     cells = [
         F.col(f"`{old}`").alias(new) if infer_types else F.col(f"`{old}`").cast("string").alias(new)
         for old, new in zip(df.columns, names)

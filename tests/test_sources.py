@@ -18,6 +18,7 @@ from rubrica.plans.legacy import dedup_by_amount
 from rubrica.sources.dimensions import classifier_dimension, read_table
 from rubrica.sources.extracts import read_extracts, type_extract
 from rubrica.sources.sinks import scratch_folder, write_csv, write_parquet
+from rubrica.schema import REQUIRED_COLUMNS as REQUIRED
 
 HEADER = ["UGB", "Função", "Programa", "FR", "CED", "Dotação Inicial", "% Execução", "Liq Ad Fundos Via Directa LAFVD"]
 
@@ -220,3 +221,27 @@ def test_bad_arguments(spark):
         collapse_one_level(spark.range(1), "AC")
     with pytest.raises(ValueError):
         read_extracts(spark, "/tmp", layout="x")
+
+
+REQUIRED_HEADER = ",".join(REQUIRED)
+
+
+@pytest.mark.parametrize("name", ["a b 20250831 20250905.csv", "r#1_20250831.csv", "r%201_20250831.csv", "r+1_20250831.csv", "r[1]_20250831.csv"])
+def test_names_as_they_are(spark, tmp_path, name):
+    (tmp_path / name).write_text(REQUIRED_HEADER + "\n" + ",".join("1" * len(REQUIRED)) + "\n")
+    (tmp_path / "k=v").mkdir()
+    (tmp_path / "k=v" / "other.csv").write_text(REQUIRED_HEADER + "\n" + ",".join("1" * len(REQUIRED)) + "\n")
+    rows = with_file_metadata(read_extracts(spark, str(tmp_path)).rows, "source_file").collect()
+    assert [r.source_file for r in rows] == [name]
+    assert str(rows[0].data_reporte) == "2025-08-31"
+
+
+def test_unreadable_file_and_half_a_report(spark, tmp_path):
+    good = spark.createDataFrame([("1",) * len(REQUIRED)], ",".join(f"{c} string" for c in REQUIRED))
+    for report, part in (("one", good), ("two", good), ("two", good.drop("ced"))):
+        part.write.mode("append").parquet(str(tmp_path / f"source_file={report}"))
+    (tmp_path / "source_file=three").mkdir()
+    (tmp_path / "source_file=three" / "x.parquet").write_text("this is no parquet file")
+    read = read_extracts(spark, str(tmp_path), "parquet", layout="folder")
+    assert [r.source_file for r in read.rows.collect()] == ["one"]
+    assert {r.source_file for r in read.rejects.collect()} == {"two", "three"}
