@@ -8,17 +8,19 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A lookup of at most this many rows is sent to every executor.
-BROADCAST_ROWS = 100_000
+#: A lookup of at most this many rows and bytes of text is sent to every executor.
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the table has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the table has at most ``max_rows`` rows and ``max_bytes`` bytes as JSON.
 
-    The check counts ``max_rows + 1`` rows at most.  A larger table gets no
+    The check reads ``max_rows + 1`` rows at most.  A larger table gets no
     hint: it is joined by shuffle, where AQE splits a hot key.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))
+    rows, held = df.limit(max_rows + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if rows <= max_rows and held <= max_bytes else df
 
 
 def null_safe(left: DataFrame, right: DataFrame, on: dict[str, str]) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import csv
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import tidy_text
 from ..functions.text import clean_names, strip_decimal_zeros, title_case
 from ..operators.columns import column_range
+from .extracts import MALFORMED
 
 UNIT_RANGE = ("codigo_ugb", "nivel_da_instituicao")
 
@@ -27,24 +28,27 @@ def read_table(
 ) -> DataFrame:
     """A lookup sheet as text with clean names.
 
-    ``skip`` leaves out that many lines above the header.  The sheet is read
-    as lines once to find its header; lookup sheets are single small files.
+    ``skip`` leaves out that many lines above the header.  A sheet of several
+    part files has the same header in each of them.  Lines are numbered per file
+    to find it, one task per file; a line that does not fit the header raises.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
         return df.select([F.col(f"`{o}`").cast("string").alias(n)
                           for o, n in zip(df.columns, clean_names(df.columns))])
-    at = F.struct(
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-    )
-    lines = spark.read.text(path).select(at.alias("at"), "value")
-    head = lines.orderBy("at").limit(skip + 1).collect()[-1]
-    names = clean_names(next(csv.reader([head.value], delimiter=sep)))
-    header_at = F.struct(*[F.lit(n).cast("long") for n in (head["at"].block, head["at"].seq)])
-    body = lines.filter(F.col("at") > header_at)
-    schema = ",".join(f"`{n}` string" for n in names)
-    cells = body.select(F.from_csv("value", F.lit(schema), {"sep": sep}).alias("r")).select("r.*")
+    at = [F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq")]
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), *at)
+    lines = lines.withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy("block", "seq")))
+    heads = [r.value.lstrip("\ufeff") for r in lines.where(F.col("n") == skip + 1).select("value").distinct().collect()]
+    if len(heads) != 1:
+        raise ValueError(f"a lookup sheet needs one header, {path} has {len(heads)}")
+    names = clean_names(next(csv.reader(heads, delimiter=sep)))
+    body = lines.where((F.col("n") > skip + 1) & (F.trim("value") != ""))
+    schema = ",".join(f"`{n}` string" for n in (*names, MALFORMED))
+    options = {"sep": sep, "escape": '"', "columnNameOfCorruptRecord": MALFORMED}
+    cells = body.select(F.from_csv("value", F.lit(schema), options).alias("r")).select("r.*")
+    found = F.raise_error(F.concat(F.lit("malformed line in a lookup sheet: "), F.col(MALFORMED))).cast("boolean")
+    cells = cells.where(F.when(F.col(MALFORMED).isNull(), F.lit(True)).otherwise(found)).drop(MALFORMED)
     return tidy_text(cells, cells.columns)
 
 

@@ -12,8 +12,8 @@ import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
-from urllib.parse import unquote, urlparse
+from functools import partial, reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException as SparkException
@@ -26,6 +26,8 @@ from ..functions.text import clean_names
 from ..schema import CLASSIFIER, METRICS, MONEY, REQUIRED_COLUMNS, ROW_ORDER, SOURCE_FILE, UNIT_KEY
 
 REJECT_SCHEMA = "source_file string, path string, missing array<string>"
+#: Holds a CSV line whose cells do not fit the header.
+MALFORMED = "__malformed"
 
 
 @dataclass(frozen=True)
@@ -49,18 +51,18 @@ def literal_path(path: str) -> str:
 def list_files(spark: SparkSession, path: str, extension: str, layout: str = "file") -> list[str]:
     """Paths of the files with this extension directly under ``path``, or in its report folders.
 
-    Only the listing is read, no content.  It holds one entry per file, as the
-    file index of the scan itself does.  The glob names the files themselves, so
-    other subfolders are not entered, whatever they are called.
+    Only the listing is read, no content, and files of zero bytes are in it.  It
+    holds one entry per file, as the file index of the scan itself does.  The glob
+    names the files themselves, so other subfolders are not entered, whatever they are called.
     """
     below = file_pattern(extension) if layout == "file" else f"{SOURCE_FILE}=*/{file_pattern(extension)}"
     try:
-        files = spark.read.format("binaryFile").load(f"{literal_path(path.rstrip('/'))}/{below}")
+        files = spark.read.format("binaryFile").load(f"{literal_path(path.rstrip('/'))}/{below}").inputFiles()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return []
-    return sorted(r.path for r in files.select("path").collect())
+    return sorted(unquote(f) for f in files)
 
 
 def read_extracts(
@@ -72,101 +74,162 @@ def read_extracts(
     sep: str = ",",
     infer_types: bool = False,
     required=REQUIRED_COLUMNS,
+    multi_line: bool = False,
+    malformed: str = "reject",
     header_threads: int = 16,
 ) -> Extracts:
     """Read every extract under ``path`` with clean names and without ``*percent``.
 
     Files are grouped by header, one scan per distinct header, and put together
     by name; a column that a file lacks is NULL.  A file without a required
-    column, or one whose header cannot be read, lands in ``rejects`` with the
-    reason, its report is left out as a whole, and the other reports go on.  (A file of zero bytes is
-    in neither: Spark does not list it.)
-
-    ``row_order`` is the place of a row in its file.  Parquet numbers its rows.
-    In CSV it is the start of the split and the running number within the split:
-    one task reads one split from front to back, so the pair follows the file
-    however many splits there are.
+    column, an empty one, or one that cannot be read lands in ``rejects`` with the
+    reason, its report is left out as a whole, and the other reports go on.
+
+    A CSV line whose cells do not fit the header, as when a cell holds a line
+    break, never becomes a row.  ``malformed="reject"`` looks for such lines in
+    one more scan and rejects their files; ``"raise"`` saves that scan and fails
+    when the line is read.  ``multi_line=True`` reads cells with line breaks, one
+    task per file; a header has to stand on one line.
+
+    CSV headers come from one job over the first split of each file, parquet
+    schemas from ``header_threads`` footers at a time.  ``row_order`` is the place
+    of a row in its file.  Parquet numbers its rows.  In CSV it is the start of
+    the split and the running number within the split: one task reads one split
+    from front to back, so the pair follows the file however many splits there are.
     """
     if layout not in ("file", "folder"):
         raise ValueError("layout must be 'file' or 'folder'")
+    if malformed not in ("reject", "raise"):
+        raise ValueError("malformed must be 'reject' or 'raise'")
     files = list_files(spark, path, fmt, layout)
-    with ThreadPoolExecutor(header_threads) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f, fmt, sep), files))
+    if fmt == "csv":
+        headers = _csv_headers(spark, files, sep)
+    else:
+        with ThreadPoolExecutor(header_threads) as pool:
+            headers = dict(zip(files, pool.map(lambda f: _parquet_header(spark, f), files)))
 
-    groups, rejects, rejected_reports = defaultdict(list), [], set()
-    for file, header in zip(files, headers):
+    reasons, groups = {}, defaultdict(list)
+    for file in files:
+        header = headers[file]
         missing = [c for c in required if c not in clean_names(header)] if isinstance(header, list) else [header]
         if missing:
-            rejects.append((_report_name(file, layout), file, missing))
-            rejected_reports.add(_report_name(file, layout))
-    for file, header in zip(files, headers):
-        # Half a report has wrong totals: one bad part rejects the others.
-        if _report_name(file, layout) not in rejected_reports:
+            reasons[file] = missing
+        else:
             groups[tuple(header)].append(file)
-
+    scan = partial(_scan, spark, path, fmt=fmt, layout=layout, sep=sep, infer_types=infer_types, multi_line=multi_line)
+    if fmt == "csv" and malformed == "reject":
+        for header, members in groups.items():
+            for file in _malformed_files(scan(members, header, whole=True)):
+                reasons[_same(file, members)] = ["malformed line"]
+
+    # Half a report has wrong totals: one bad part rejects the others.
+    rejected_reports = {_report_name(f, layout) for f in reasons}
+    rejects = [(_report_name(f, layout), f, reason) for f, reason in reasons.items()]
     rejected = spark.createDataFrame(rejects, REJECT_SCHEMA)
-    if not groups:
+    kept = {h: [f for f in members if _report_name(f, layout) not in rejected_reports] for h, members in groups.items()}
+    scans = [
+        _cells(scan(members, header, whole=malformed == "raise"), clean_names(list(header)), fmt, layout, malformed)
+        for header, members in kept.items() if members
+    ]
+    if not scans:
         empty = T.StructType([
             T.StructField(c, T.StringType()) for c in (SOURCE_FILE, *UNIT_KEY, CLASSIFIER, *METRICS)
         ])
         return Extracts(spark.createDataFrame([], empty), rejected)
-    scans = [
-        _scan(spark, path, members, header, fmt, layout, sep, infer_types)
-        for header, members in groups.items()
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
-    return Extracts(rows, rejected)
+    return Extracts(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans), rejected)
+
+
+def _parquet_header(spark, file) -> list[str] | str:
+    """The columns of a file, or why it cannot be read."""
+    try:
+        return spark.read.parquet(literal_path(file)).columns
+    except (AnalysisException, Py4JJavaError, SparkException) as e:
+        return f"unreadable: {type(e).__name__}"
+
+
+def _csv_headers(spark, files, sep) -> dict[str, list[str] | str]:
+    """The header of each file, or why there is none; one job for all files."""
+    if not files:
+        return {}
+    first = (
+        spark.read.text([literal_path(f) for f in files])
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("seq"))
+        .where("block = 0").groupBy("file").agg(F.min_by("value", "seq").alias("line"))
+    )
+    lines = {_plain(unquote(r.file)): r.line.lstrip("\ufeff") for r in first.collect()}
+    return {f: _csv_header(lines.get(_plain(f)), sep) for f in files}
+
+
+def _csv_header(line: str | None, sep: str) -> list[str] | str:
+    if line is None:
+        return "empty file"
+    if line.count('"') % 2:
+        return "header of several lines"
+    return next(csv.reader([line], delimiter=sep), [])
 
 
-def _header(spark, file, fmt, sep) -> list[str] | str:
-    """The header of a file, or why it cannot be read."""
-    file = literal_path(file)
-    if fmt == "parquet":
-        try:
-            return [c for c in spark.read.parquet(file).columns]
-        except (AnalysisException, Py4JJavaError, SparkException) as e:
-            return f"unreadable: {type(e).__name__}"
-    first = spark.read.text(file).first()
-    return next(csv.reader([first[0].lstrip("﻿")], delimiter=sep), []) if first else []
+def _plain(path: str) -> str:
+    """A path of a local file with one slash after its scheme, however it was listed."""
+    return re.sub(r"^file:/+", "file:/", path)
+
+
+def _same(file: str, members: list[str]) -> str:
+    return next(m for m in members if _plain(m) == _plain(unquote(file)))
 
 
 def _report_name(file: str, layout: str) -> str:
-    parts = unquote(urlparse(file).path).split("/")
-    return parts[-1] if layout == "file" else parts[-2].removeprefix(f"{SOURCE_FILE}=")
+    parts = file.split("/")
+    return parts[-1] if layout == "file" else unquote(parts[-2].removeprefix(f"{SOURCE_FILE}="))
+
 
+def _scan(spark, root, files, header, *, fmt, layout, sep, infer_types, multi_line, whole=False) -> DataFrame:
+    """The files of one header with clean names.
 
-def _scan(spark, root, files, header, fmt, layout, sep, infer_types) -> DataFrame:
+    CSV has its lines that do not fit in MALFORMED; for that, ``whole`` lines are parsed, whatever is selected.
+    """
     names = clean_names(list(header))
-    reader = spark.read
-    if layout == "folder":
-        reader = reader.option("basePath", root)
+    paths = [literal_path(f) for f in files]
+    reader = spark.read.option("basePath", root) if layout == "folder" else spark.read
+    if fmt != "csv":
+        df = reader.format(fmt).load(paths)
+        return df.withColumnsRenamed(dict(zip(header, names)))
+    options = {"header": True, "sep": sep, "escape": '"', "enforceSchema": True, "multiLine": multi_line}
+    if whole:
+        options["columnPruning"] = False
+    kinds = [T.StringType()] * len(names)
+    if infer_types:
+        kinds = [f.dataType for f in spark.read.options(**options, inferSchema=True).csv(paths).schema][: len(names)]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip([*names, MALFORMED], [*kinds, T.StringType()])])
+    return reader.options(**options, columnNameOfCorruptRecord=MALFORMED).schema(schema).csv(paths)
+
+
+def _malformed_files(scan: DataFrame) -> list[str]:
+    """Encoded paths of the files that hold a line which does not fit."""
+    bad = scan.where(F.col(MALFORMED).isNotNull())
+    # The reader does not take a query on the malformed lines alone, hence the second column.
+    bad = bad.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(scan.columns[0]))
+    return [r.file for r in bad.collect()]
+
+
+def _cells(scan: DataFrame, names, fmt, layout, malformed) -> DataFrame:
+    """Report name, place in the file and cells."""
     if fmt == "csv":
-        reader = reader.options(header=True, sep=sep, enforceSchema=True)
-        if infer_types:
-            reader = reader.option("inferSchema", True)
-        else:
-            reader = reader.schema(",".join(f"`{n}` string" for n in names))
-        order = F.struct(
-            F.col("_metadata.file_name").alias("part"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("seq"),
-        )
+        block, seq = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
     else:
-        order = F.struct(
-            F.col("_metadata.file_name").alias("part"),
-            F.lit(0).cast("long").alias("block"),
-            F.col("_metadata.row_index").alias("seq"),
-        )
-    df = reader.format(fmt).load([literal_path(f) for f in files])
+        block, seq = F.lit(0).cast("long"), F.col("_metadata.row_index")
+    order = F.struct(F.col("_metadata.file_name").alias("part"), block.alias("block"), seq.alias("seq"))
     # File names come percent-encoded; a plus sign is itself there.
     decoded = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     report = decoded if layout == "file" else F.col(SOURCE_FILE)
     cells = [
-        F.col(f"`{old}`").alias(new) if infer_types else F.col(f"`{old}`").cast("string").alias(new)
-        for old, new in zip(df.columns, names)
-        if not new.endswith("percent") and new != SOURCE_FILE
+        F.col(n) if fmt == "csv" else F.col(n).cast("string").alias(n)
+        for n in names if not n.endswith("percent") and n != SOURCE_FILE
     ]
-    return df.select(report.alias(SOURCE_FILE), order.alias(ROW_ORDER), *cells)
+    if fmt == "csv" and malformed == "raise":
+        found = F.raise_error(F.concat(F.lit("malformed line in "), decoded)).cast("boolean")
+        scan = scan.where(F.when(F.col(MALFORMED).isNull(), F.lit(True)).otherwise(found))
+    return scan.select(report.alias(SOURCE_FILE), order.alias(ROW_ORDER), *cells)
 
 
 def type_extract(raw: DataFrame, metrics=METRICS, metric_type: str = MONEY) -> DataFrame:

@@ -6,17 +6,28 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists") -> None:
-    df.write.mode(mode).partitionBy(*partition_by).csv(
+def ordered(df: DataFrame, partition_by=(), sort_by=()) -> DataFrame:
+    """Rows in the order of the written files: ranges of the sort columns, NULLs last.
+
+    Part files follow each other by name.  Folders come first in the order, so that
+    the writer does not sort anew.
+    """
+    return df.orderBy(*[F.asc_nulls_last(c) for c in (*partition_by, *sort_by)]) if sort_by else df
+
+
+def write_csv(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists", sort_by=()) -> None:
+    """CSV that ``read_extracts`` reads back; cells with line breaks need its ``multi_line``."""
+    ordered(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).csv(
         path, header=True, nullValue="", emptyValue="", escape='"'
     )
 
 
-def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists") -> None:
+def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexists", sort_by=()) -> None:
     """Parquet under any URI Spark can write to, an object store included."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    ordered(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:

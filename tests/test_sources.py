@@ -245,3 +245,67 @@ def test_unreadable_file_and_half_a_report(spark, tmp_path):
     read = read_extracts(spark, str(tmp_path), "parquet", layout="folder")
     assert [r.source_file for r in read.rows.collect()] == ["one"]
     assert {r.source_file for r in read.rejects.collect()} == {"two", "three"}
+
+
+def report(tmp_path, name, *lines):
+    (tmp_path / name).write_text("\n".join([REQUIRED_HEADER, *lines]) + "\n")
+
+
+def test_empty_and_malformed_files_are_rejected(spark, tmp_path):
+    line = ",".join("1" * len(REQUIRED))
+    report(tmp_path, "good%20.csv", line)
+    (tmp_path / "empty#%20.csv").write_text("")
+    report(tmp_path, "broken%20.csv", line, '"a\nb"' + line[1:])
+    (tmp_path / "head.csv").write_text('"a\nb",' + REQUIRED_HEADER + "\n1," + line + "\n")
+    read = read_extracts(spark, str(tmp_path))
+    assert [r.source_file for r in read.rows.collect()] == ["good%20.csv"]
+    assert {r.source_file: r.missing for r in read.rejects.collect()} == {
+        "empty#%20.csv": ["empty file"], "broken%20.csv": ["malformed line"], "head.csv": ["header of several lines"]}
+    with pytest.raises(Exception, match="malformed line in broken"):
+        read_extracts(spark, str(tmp_path), malformed="raise").rows.select("ced").collect()
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    rest = ["1"] * (len(REQUIRED) - 1)
+    report(tmp_path, "a.csv", ",".join(['"x\ny ""z"""', *rest]), ",".join(["w", *rest]))
+    read = read_extracts(spark, str(tmp_path), multi_line=True)
+    assert [r[REQUIRED[0]] for r in read.rows.orderBy("row_order").collect()] == ['x\ny "z"', "w"]
+    assert read.rejects.count() == 0
+
+
+def test_jobs_do_not_grow_with_files(spark, tmp_path):
+    line = ",".join("1" * len(REQUIRED))
+    jobs = []
+    for n in (3, 12):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            report(folder, f"{i}.csv", line)
+        spark.sparkContext.setJobGroup(f"files-{n}", "")
+        assert read_extracts(spark, str(folder)).rows.columns
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"files-{n}")))
+    assert jobs[0] == jobs[1]
+
+
+def test_lookup_sheet_of_several_parts(spark, tmp_path):
+    for part, code in (("a", "1"), ("b", "2")):
+        (tmp_path / f"{part}.csv").write_text(f"Título\nCódigo,Designação\n{code},x\n")
+    sheet = read_table(spark, str(tmp_path), skip=1)
+    assert sorted(tuple(r) for r in sheet.collect()) == [("1", "x"), ("2", "x")]
+    (tmp_path / "c.csv").write_text("Título\nDesignação,Código\ny,3\n")
+    with pytest.raises(ValueError):
+        read_table(spark, str(tmp_path), skip=1)
+
+
+def test_sorted_sink(spark, tmp_path):
+    rows = [(i % 7 if i % 5 else None, i) for i in range(200)]
+    write_parquet(spark.createDataFrame(rows, "k int, i int").repartition(4), str(tmp_path / "o"), sort_by=["k", "i"])
+    parts = sorted((tmp_path / "o").glob("part-*"))
+    got = [tuple(r) for p in parts for r in spark.read.parquet(str(p)).collect()]
+    assert got == sorted(rows, key=lambda r: (r[0] is None, r))
+
+
+def test_a_wide_lookup_is_not_broadcast(spark):
+    wide = spark.createDataFrame([("x" * 1000,)], "c string")
+    hint = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hint(J.broadcast_if_small(wide)) and not hint(J.broadcast_if_small(wide, max_bytes=999))
