@@ -114,6 +114,9 @@ def test_scratch_folder_is_the_shared_one():
     assert scratch_folder(shared, "t").startswith("/shared/x/t-")
     with pytest.raises(RuntimeError):
         scratch_folder(fake_session("spark://x"), "t")
+    with pytest.raises(RuntimeError):
+        scratch_folder(fake_session("local-cluster[2,1,1024]"), "t")
+    assert scratch_folder(fake_session("local[8]"), "t") and scratch_folder(fake_session("local"), "t")
 
 
 @pytest.mark.parametrize("names, expected", [
