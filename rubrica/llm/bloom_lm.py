@@ -137,7 +137,9 @@ def build(grams: DataFrame, bits: int, segment_bits: int) -> np.ndarray:
     # Keys are unsigned: the remainder of a negative long is brought to that of key + 2^64.
     shift = (1 << 64) % segments
     which = F.pmod(F.pmod(F.col("key"), F.lit(segments)) + F.when(F.col("key") < 0, F.lit(shift)).otherwise(F.lit(0)), F.lit(segments))
-    parts = grams.withColumn("segment", which).groupBy("segment").applyInPandas(segment, "segment long, bits binary")
+    # Written first: the driver then fetches a few splits of files, not each shuffle partition by a job.
+    parts = materialise(
+        grams.withColumn("segment", which).groupBy("segment").applyInPandas(segment, "segment long, bits binary"), "filter")
     out = np.zeros(bits // 8, np.uint8)
     width = segment_bits // 8
     for row in parts.toLocalIterator():
