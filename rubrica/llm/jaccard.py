@@ -344,8 +344,11 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return (chosen.join(one, "set_id").join(two, "other")
                 .select("set_id", "other", "n", "less", "bits", "fewer").mapInArrow(_bounded, "a long, b long"))
 
-    links = materialise(_verified(materialise(neighbours(tiles, "key", "part"), "pairs"), classes, rows), "near")
-    stars = components(links)
+    def joined(stars: DataFrame, more: DataFrame) -> DataFrame:
+        """Components of earlier links, known by their stars, and of further ones."""
+        return components(stars.toDF("a", "b").unionByName(more))
+
+    stars = components(_verified(materialise(neighbours(tiles, "key", "part"), "pairs"), classes, rows))
 
     def labelled() -> DataFrame:
         """Tile rows with component labels, of keys that hold several."""
@@ -360,9 +363,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for sweep in range(SWEEPS):
         pick = F.min_by(F.struct("n", "set_id"), F.xxhash64("set_id", F.lit(sweep)))
         heads = labelled().groupBy("key", "label").agg(pick.alias("head")).select("key", "head.*")
-        more = materialise(_verified(materialise(neighbours(heads, "key"), "pairs"), classes, rows), "near")
-        links = links.unionByName(more)
-        stars = components(links)
+        stars = joined(stars, _verified(materialise(neighbours(heads, "key"), "pairs"), classes, rows))
     # In full: each part against itself and against the others.
     own = labelled().withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
     crossed = (own.withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other"))
@@ -371,8 +372,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .select("key", "one", "two", "part", "label", "set_id", "n", "bits")
                .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id"))
     rest = materialise(crossed.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
-    links = links.unionByName(materialise(_verified(rest, classes, rows), "near"))
-    stars = components(links)
+    stars = joined(stars, _verified(rest, classes, rows))
 
     members = classes.select("set_id", "least").join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id"))
