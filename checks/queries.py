@@ -232,16 +232,12 @@ def file_metadata(spark, d):
 
 @query
 def collapse_one_level(spark, d):
-    rows = _valid(spark, d)
-    pairs = [H.collapse_one_level(rows, p).withColumn("pair", F.lit(p)) for p in H.PAIRS]
-    return _shown(_union(*pairs).select("pair", "source_file", "ugb", "ced", "ced_group", "is_parent", *S.METRICS))
+    return _shown(H.collapse_pairs(_valid(spark, d)).select("pair", "source_file", "ugb", "ced", "ced_group", "is_parent", *S.METRICS))
 
 
 @query
 def residual_parents(spark, d):
-    rows = _valid(spark, d)
-    pairs = [H.residual_parents(rows, p).withColumn("pair", F.lit(p)) for p in ("CD", "BC")]
-    return _shown(_union(*pairs).select("pair", "source_file", "ugb", "ced", "ced_group", "is_parent", *S.METRICS))
+    return _shown(H.residual_parents(_valid(spark, d), ("CD", "BC")).select("pair", "source_file", "ugb", "ced", "ced_group", "is_parent", *S.METRICS))
 
 
 @query
@@ -336,10 +332,7 @@ def dedup_by_amount(spark, d):
 @query
 def multi_row_groups(spark, d):
     base = L.legacy_base(A.typed_extract(spark, d), _units(spark, d))
-    return _union(
-        G.multi_row_groups(base, K.prefix_group(4)).select(*_BASE, F.lit("several").alias("kind")),
-        G.multi_row_groups(base, K.prefix_group(4), single=True).select(*_BASE, F.lit("single").alias("kind")),
-    )
+    return G.with_group_kind(base, K.prefix_group(4)).select(*_BASE, "kind")
 
 
 @query

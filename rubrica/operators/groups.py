@@ -37,7 +37,13 @@ def with_group_stats(df: DataFrame, keys, **stats: Column) -> DataFrame:
     return null_safe_join(df, per_group, keys)
 
 
+def with_group_kind(df: DataFrame, keys, name: str = "kind") -> DataFrame:
+    """Every row with ``several`` or ``single``, by the number of rows of its group."""
+    counted = with_group_stats(df, keys, __n=F.count("*"))
+    return counted.withColumn(name, F.when(F.col("__n") > 1, "several").otherwise("single")).drop("__n")
+
+
 def multi_row_groups(df: DataFrame, keys, single: bool = False) -> DataFrame:
     """Rows of groups with more than one row, or with exactly one."""
-    counted = with_group_stats(df, keys, __n=F.count("*"))
-    return counted.filter("__n = 1" if single else "__n > 1").drop("__n")
+    marked = with_group_kind(df, keys, "__kind")
+    return marked.filter(F.col("__kind") == ("single" if single else "several")).drop("__kind")

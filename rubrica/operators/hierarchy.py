@@ -46,37 +46,51 @@ def subtract_children(
 ) -> DataFrame:
     """Take the sum of all non-parent rows of a group off each of its parent rows.
 
-    Only the parents are joined to the totals; the other rows pass through where
-    they are.
+    Two passes over the input: one for the totals, combined on the map side, and
+    one joined to them, a join whose hot groups AQE splits.
     """
-    df = df.withColumn(flag, is_parent)
+    df = df.withColumn(flag, is_parent).filter(F.col(flag).isNotNull())
     totals = (
         df.filter(~F.col(flag)).groupBy(*group).agg(*[F.sum(m).alias(_total(m)) for m in metrics])
     )
-    parents = null_safe_join(df.filter(flag), totals, list(group), "left")
-    netted = parents.withColumns({m: less(m, _total(m)) for m in metrics}).select(df.columns)
-    # Subtraction widens a decimal; the rows beside it take the same type.
-    types = dict(netted.dtypes)
-    others = df.filter(~F.col(flag)).withColumns({m: F.col(m).cast(types[m]) for m in metrics})
-    return netted.unionByName(others)
+    joined = null_safe_join(df, totals, list(group), "left")
+    return joined.withColumns(
+        {m: F.when(F.col(flag), less(m, _total(m))).otherwise(F.col(m)) for m in metrics}
+    ).select(df.columns)
 
 
 # Levels, parent suffix and prefix length of the group.
 PAIRS = {"CD": ("0000", 2), "BC": ("000", 3), "AB": ("00", 4)}
 
 
+def collapse_pairs(df: DataFrame, pairs=tuple(PAIRS), metrics=METRICS) -> DataFrame:
+    """Pairs of neighbouring levels, the upper less the lower, without a presence test.
+
+    A row comes back once for each pair that holds its level, named in ``pair``;
+    all pairs together take two passes over the input.
+    """
+    for pair in pairs:
+        if pair not in PAIRS:
+            raise ValueError(f"pair must be one of {sorted(PAIRS)}, not {pair!r}")
+    held = [F.when(F.col("ced_group").isin(*p), F.lit(p)) for p in pairs]
+    rows = df.withColumns({
+        "ced": F.trim("ced"), "pair": F.explode(F.array_compact(F.array(*held))),
+    })
+    of_pair = lambda value: F.coalesce(*[F.when(F.col("pair") == p, value(*PAIRS[p])) for p in pairs])
+    # The longest prefix stands for the shorter ones.
+    rows = rows.withColumn("__prefix", of_pair(lambda _, digits: F.col(f"_c{digits}")))
+    upper = of_pair(lambda suffix, _: F.col("ced").endswith(suffix))
+    return subtract_children(rows, [*prefix_group(1), "pair", "__prefix"], upper, metrics).drop("__prefix")
+
+
 def collapse_one_level(df: DataFrame, pair: str, metrics=METRICS) -> DataFrame:
-    """Two neighbouring levels, the upper less the lower, without a presence test."""
-    if pair not in PAIRS:
-        raise ValueError(f"pair must be one of {sorted(PAIRS)}, not {pair!r}")
-    suffix, digits = PAIRS[pair]
-    rows = df.filter(F.col("ced_group").isin(*pair)).withColumn("ced", F.trim("ced"))
-    return subtract_children(rows, prefix_group(digits), F.col("ced").endswith(suffix), metrics)
+    """One pair of neighbouring levels; see ``collapse_pairs``."""
+    return collapse_pairs(df, (pair,), metrics).drop("pair")
 
 
-def residual_parents(df: DataFrame, pair: str, metrics=METRICS) -> DataFrame:
-    """Only the upper rows of ``collapse_one_level``: what is left of each total."""
-    return collapse_one_level(df, pair, metrics).filter(F.col("ced_group") == pair[-1])
+def residual_parents(df: DataFrame, pairs, metrics=METRICS) -> DataFrame:
+    """Only the upper rows of ``collapse_pairs``: what is left of each total."""
+    return collapse_pairs(df, pairs, metrics).filter(F.col("ced_group") == F.substring("pair", 2, 1))
 
 
 def _level(
