@@ -7,13 +7,15 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WordHashes, as_long, batches_of, materialise, mixed, remainder, texts
 
-#: Bits of the filter, of its segments, probes per entry, and entries per bit.
+#: Bits of the filter at least, of its segments, probes per entry, and entries per bit at most.
 BITS, SEGMENT_BITS, PROBES, LOAD = 1 << 28, 1 << 18, 4, 0.15
+#: Bits of the filter at most; n-grams beyond them are joined.
+MOST_BITS = 1 << 30
 #: Words whose exact counts every worker holds; the others are joined.
 FREQUENT = 1 << 18
 #: Word pairs seen less often are left to the smoothing.
@@ -29,6 +31,9 @@ CHUNK = 1 << 21
 END, BEGIN = b" ", b"\t"
 LEVELS = 48 * FINENESS
 
+#: Places (twice the token's, plus one for its pair) and keys that the filter does not hold.
+OPEN = pa.list_(pa.struct([("place", pa.int64()), ("key", pa.int64())]))
+
 
 def pairs_of(hashes: np.ndarray) -> np.ndarray:
     """Keys of neighbouring tokens."""
@@ -147,11 +152,16 @@ def build(grams: DataFrame, bits: int, segment_bits: int) -> np.ndarray:
     return out
 
 
-class PairModel:
-    """Counts of the tokens of a batch, as the filter has them."""
+def level_of(n: Column) -> Column:
+    """quantised() of a column."""
+    return F.floor(F.log2(n) * FINENESS + 1e-9) + 1
+
 
-    def __init__(self, probes: Filter, denominator: float):
-        self.tokens, self.probes, self.denominator = Tokens(), probes, denominator
+class Reader:
+    """Levels of the tokens of a batch, and of their pairs, as the filter has them; below `lowest` they are open, 0 for now."""
+
+    def __init__(self, probes: Filter, lowest: int):
+        self.tokens, self.probes, self.lowest = Tokens(), probes, lowest
 
     def read(self, batch: list[bytes]) -> None:
         each = [self.tokens.keys(t) for t in batch]
@@ -159,14 +169,56 @@ class PairModel:
         self.starts = np.cumsum(self.n) - self.n
         self.one, self.at_one = np.unique(np.concatenate([e[0] for e in each]), return_inverse=True)
         two, at_two = np.unique(np.concatenate([e[1] for e in each]), return_inverse=True)
-        level = self.probes.level(self.one)
-        count = estimate(level)
-        self.single = ((count + 0.5) / self.denominator)[self.at_one]
-        end = np.searchsorted(self.one, np.uint64(self.tokens.words[END]))  # as many begins as ends
-        before = np.concatenate([self.at_one[:0], [end], self.at_one[:-1]])
-        before[self.starts] = end
-        self.history, self.joint = count[before], estimate(self.probes.level(two))[at_two]
-        self.bucket = level[before] // (2 * FINENESS)
+        levels = [self.probes.level(keys) for keys in (self.one, two)]
+        self.word, self.joint = (np.where(v >= self.lowest, v, 0).astype(np.uint8)[at] for v, at in zip(levels, (self.at_one, at_two)))
+        # No entry of the filter is lost: what is below its lowest level is not in it.
+        self.open = pa.array([[]] * len(each), OPEN)
+        if self.lowest > 1:
+            where = [np.flatnonzero(v == 0) for v in (self.word, self.joint)]
+            token, key = np.concatenate(where), np.concatenate([self.one[self.at_one[where[0]]], two[at_two[where[1]]]])
+            place = 2 * (token - np.repeat(self.starts, self.n)[token]) + np.repeat([0, 1], [len(w) for w in where])
+            order = np.argsort(token, kind="stable")
+            offsets = np.searchsorted(token[order], np.append(self.starts, self.n.sum())).astype(np.int32)
+            entries = pa.StructArray.from_arrays([pa.array(place[order]), pa.array(as_long(key[order]))], fields=list(OPEN.value_type))
+            self.open = pa.ListArray.from_arrays(pa.array(offsets), entries)
+
+    def packed(self, levels: np.ndarray) -> pa.Array:
+        """A byte per token, by text."""
+        offsets = np.append(self.starts, self.n.sum()).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(self.n), [None, pa.py_buffer(offsets), pa.py_buffer(levels)])
+
+
+def resolved(read: DataFrame, rest: DataFrame) -> DataFrame:
+    """`read` with the levels of its open entries from the n-grams `rest` (key, level), which the filter leaves out."""
+    names = [n for n in read.columns if n != "open"]
+    kind = ", ".join(f"{n} {read.schema[n].dataType.simpleString()}" for n in names)
+
+    def filled(batches):
+        for batch in batches:
+            found = batch.column("found").to_pylist()
+            levels = {name: [np.frombuffer(v, np.uint8).copy() for v in batch.column(name).to_pylist()] for name in ("word", "joint")}
+            for k, packed in enumerate(found):
+                if packed:
+                    place, level = np.divmod(np.array(packed, np.int64), 128)
+                    for name, odd in (("word", 0), ("joint", 1)):
+                        own = place % 2 == odd
+                        levels[name][k][place[own] // 2] = level[own]
+            columns = {name: pa.array([v.tobytes() for v in each], pa.binary()) for name, each in levels.items()}
+            yield pa.RecordBatch.from_arrays([columns[n] if n in columns else batch.column(n) for n in names], names)
+
+    entries = read.select("row", F.explode("open").alias("o")).select("row", "o.place", "o.key")
+    found = (entries.join(rest, "key").groupBy("row")
+             .agg(F.collect_list(F.col("place") * 128 + F.col("level")).alias("found")))
+    return materialise(read.select(names).join(found, "row", "left").mapInArrow(filled, kind), "resolved")
+
+
+class PairModel:
+    """Counts of the tokens of a batch, by their levels."""
+
+    def __init__(self, word: np.ndarray, before: np.ndarray, joint: np.ndarray, denominator: float):
+        self.single = (estimate(word) + 0.5) / denominator
+        self.history, self.joint = estimate(before), estimate(joint)
+        self.bucket = before // (2 * FINENESS)
 
     def pair(self, less: float = 0.0) -> np.ndarray:
         """Relative frequency of each token after the one before, with `less` of each count."""
@@ -174,32 +226,45 @@ class PairModel:
         return joint / np.maximum(np.maximum(self.history - less, joint), 1.0)
 
 
-def fitted(rows: DataFrame, model, buckets: int) -> np.ndarray:
+def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the texts, and the levels of tokens, of the tokens before them, and of the pairs."""
+    each = batch.column("word").to_pylist()
+    starts = np.cumsum([0, *map(len, each)])
+    word, joint = (np.frombuffer(b"".join(v), np.uint8).astype(np.int64) for v in (each, batch.column("joint").to_pylist()))
+    before = np.roll(word, 1)
+    before[starts[:-1]] = word[starts[1:] - 1]  # as many begins as ends
+    return starts[:-1], word, before, joint
+
+
+def fitted(levels: DataFrame, denominator: float, buckets: int) -> np.ndarray:
     """The weight of the pair model for each bucket of the count of the token before.
 
     Each learning text is scored with its own pair left out of the counts; the weight of
-    largest likelihood is taken.
+    largest likelihood is taken.  Tasks count how often levels meet, so the texts are read once.
     """
 
-    def tried(batches):
-        own, sums = model(), np.zeros((buckets, len(GRID)))
+    def met(batches):
+        total = np.zeros(128 ** 3, np.int64)
         for batch in batches:
-            own.read(texts(batch.column("t")))
-            pair = own.pair(1.0)
-            for k, weight in enumerate(GRID):
-                sums[:, k] += np.bincount(own.bucket, np.log(weight * pair + (1 - weight) * own.single), buckets)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(buckets)), pa.array(list(sums), pa.list_(pa.float64()))], ["bucket", "tried"])
-
-    total = np.zeros((buckets, len(GRID)))
-    for row in rows.mapInArrow(tried, "bucket long, tried array<double>").toLocalIterator():
-        total[row["bucket"]] += row["tried"]
+            _, word, before, joint = unpacked(batch)
+            code, k = np.unique((joint * 128 + before) * 128 + word, return_counts=True)
+            total[code] += k
+        code = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], ["code", "k"])
+
+    rows = levels.mapInArrow(met, "code long, k long").groupBy("code").agg(F.sum("k").alias("k")).collect()
+    code, k = (np.array([r[n] for r in rows], np.int64) for n in ("code", "k"))
+    own = PairModel(code % 128, code // 128 % 128, code // 128 ** 2, denominator)
+    pair, total = own.pair(1.0), np.zeros((buckets, len(GRID)))
+    for at, weight in enumerate(GRID):
+        total[:, at] = np.bincount(own.bucket, k * np.log(weight * pair + (1 - weight) * own.single), buckets)
     return np.array(GRID)[total.argmax(axis=1)]
 
 
 def scored(
     docs: DataFrame, fold: int = 1, modulus: int = 5, bits: int = BITS, segment_bits: int = SEGMENT_BITS,
     frequent: int = FREQUENT, min_pair: int = MIN_PAIR, id_col: str = "doc_id", text_col: str = "text",
+    most_bits: int = MOST_BITS,
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
@@ -208,15 +273,16 @@ def scored(
     uses exact token counts: those of the commonest words, `frequent` at most, are in every worker,
     rarer tokens of a text are joined with the count table.  score is the log10
     probability of a pair model: counts are quantised by logarithm and stored as a
-    unary run of entries in a Bloom filter of fixed size, which workers probe level by
+    unary run of entries in a Bloom filter, which workers probe level by
     level; P(w | v) = a c(v, w) / c(v) + (1 - a) P(w), where the weight a depends on c(v) and
-    is fitted on about FIT_TEXTS learning texts, chosen by a hash of their ids.  If the n-grams do not fit the
-    filter's load, those below a power of two stay out; smoothing stands for them.
+    is fitted on about FIT_TEXTS learning texts, chosen by a hash of their ids.  The filter has `bits`, or as many as
+    its entries need, up to `most_bits` (or `bits`, if more); levels that do not fit are left out of it, and tokens and
+    pairs not found in it are joined with the counts of those levels.  So all n-grams count at every size.
 
     NULL texts count as empty and have the end alone; NULL ids are learned from; repeated
     rows and ids are scored row by row; an empty table gives no rows; other columns are
     not read.  Counts are combined in each task and move as 64-bit keys, so a word of any
-    frequency costs one row per chunk.  The driver holds the filter (`bits`) and
+    frequency costs one row per chunk.  The driver holds the filter and
     `frequent` counts.
     """
     spark = docs.sparkSession
@@ -229,49 +295,38 @@ def scored(
     words = grams.where("not pair").select("key", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     below = math.log10(total + 0.5 * (distinct + 1))
-    # The lowest power of two from which on all n-grams fit the filter.
-    room, least = int(bits * LOAD), None
-    sizes = {r["l"]: r["k"] for r in grams.groupBy(F.floor(F.log2("n")).alias("l")).agg(F.count("*").alias("k")).collect()}
-    for level in sorted(sizes, reverse=True):
-        room -= sizes[level] * FINENESS * (level + 1)
-        if room < 0:
+    # The lowest level from which on all n-grams fit the filter, and its bits.
+    sizes = {r["l"]: r["k"] for r in grams.groupBy(level_of(F.col("n")).alias("l")).agg(F.count("*").alias("k")).collect()}
+    entries, lowest = 0, max(sizes, default=0) + 1
+    for step in sorted(sizes, reverse=True):
+        if entries + sizes[step] * step > max(bits, most_bits) * LOAD:
             break
-        least = level
-    table = build(grams.where(F.col("n") >= 2 ** least), bits, segment_bits) if least is not None else np.zeros(bits // 8, np.uint8)
-    shared = spark.sparkContext.broadcast(table)
+        entries, lowest = entries + sizes[step] * step, step
+    bits = max(bits, -(-math.ceil(entries / LOAD) // segment_bits) * segment_bits)
+    kept = level_of(F.col("n")) >= lowest
+    shared = spark.sparkContext.broadcast(build(grams.where(kept), bits, segment_bits))
     # The commonest words, down to the lowest level that leaves no more than `frequent`.
-    level = F.floor(F.log2("n") * FINENESS + 1e-9)
+    level = level_of(F.col("n"))
     steps, have = {r["l"]: r["k"] for r in words.groupBy(level.alias("l")).agg(F.count("*").alias("k")).collect()}, 0
-    lowest = max(steps, default=0) + 1
+    least = max(steps, default=0) + 1
     for step in sorted(steps, reverse=True):
         have += steps[step]
         if have > frequent:
             break
-        lowest = step
-    top = words.where(level >= lowest).toPandas()
+        least = step
+    top = words.where(level >= least).toPandas()
     keys = top["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     common = spark.sparkContext.broadcast((keys[order], top["n"].to_numpy(np.int64)[order]))
     denominator = total + 0.5 * (distinct + 1)
 
-
-    def model() -> PairModel:
-        return PairModel(Filter(shared.value, segment_bits), denominator)
-
-    buckets = LEVELS // (2 * FINENESS) + 1
-    every = max(1, rows.count() // FIT_TEXTS)
-    sample = rows.where(~held_out & (F.pmod(F.xxhash64("i"), F.lit(every)) == 0)).select("t")
-    weights = fitted(sample, model, buckets)
-
     def judged(batches):
-        own = model()
+        own = Reader(Filter(shared.value, segment_bits), lowest)
         known, counts = common.value
         logs = np.log10(counts + 0.5)
         for batch in batches:
             own.read(texts(batch.column("t")))
             n, starts, one, at_one = own.n, own.starts, own.one, own.at_one
-            weight = weights[own.bucket]
-            score = np.add.reduceat(np.log10(weight * own.pair() + (1 - weight) * own.single), starts)
             if len(known):
                 place = np.minimum(np.searchsorted(known, one), len(known) - 1)
                 hit = known[place] == one
@@ -284,19 +339,39 @@ def scored(
             offsets = np.searchsorted(rare, np.append(starts, n.sum())).astype(np.int32)
             tail = pa.ListArray.from_arrays(pa.array(offsets), pa.array(as_long(one[at_one[rare]])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("i"), batch.column("held_out"), pa.array(n), pa.array(sure), pa.array(base), pa.array(score), tail],
-                ["i", "held_out", "n_tokens", "sure", "base", "score", "tail"])
+                [batch.column("i"), batch.column("held_out"), pa.array(n), pa.array(sure), pa.array(base),
+                 own.packed(own.word), own.packed(own.joint), own.open, tail],
+                ["i", "held_out", "n_tokens", "sure", "base", "word", "joint", "open", "tail"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     first = materialise(
         rows.withColumn("held_out", held_out).mapInArrow(
-            judged, f"i {kind}, held_out boolean, n_tokens long, sure long, base double, score double, tail array<long>")
+            judged, f"i {kind}, held_out boolean, n_tokens long, sure long, base double, word binary, joint binary, "
+            "open array<struct<place:long,key:long>>, tail array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "judged")
+    full = first.drop("tail")
+    if lowest > 1:
+        full = resolved(full, grams.where(~kept).select("key", level_of(F.col("n")).alias("level")))
+    every = max(1, first.count() // FIT_TEXTS)
+    sample = full.where(~F.col("held_out") & (F.pmod(F.xxhash64("i"), F.lit(every)) == 0)).select("word", "joint")
+    weights = fitted(sample, denominator, LEVELS // (2 * FINENESS) + 1)
+
+    def marked(batches):
+        for batch in batches:
+            starts, word, before, joint = unpacked(batch)
+            own = PairModel(word, before, joint, denominator)
+            weight = weights[own.bucket]
+            score = np.add.reduceat(np.log10(weight * own.pair() + (1 - weight) * own.single), starts)
+            names = ["i", "held_out", "n_tokens", "sure", "base", "row"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(score)], [*names, "score"])
+
+    scores = full.select("i", "held_out", "n_tokens", "sure", "base", "row", "word", "joint").mapInArrow(
+        marked, f"i {kind}, held_out boolean, n_tokens long, sure long, base double, row long, score double")
     rare = first.select("row", F.explode("tail").alias("key")).groupBy("row", "key").agg(F.count("*").alias("k"))
     rest = (rare.join(words, "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
             .groupBy("row").agg(F.sum(F.col("k") * F.log10(F.col("n") + 0.5)).alias("more"),
                                 F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(F.lit(0))).alias("found")))
-    return first.drop("tail").join(rest, "row", "left").select(
+    return scores.join(rest, "row", "left").select(
         F.col("i").alias(id_col), "held_out", "n_tokens",
         (F.col("sure") + F.coalesce("found", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(below)).alias("base_score"), "score")

@@ -216,6 +216,18 @@ def test_language_model(docs, none, rows):
     assert bloom_lm.scored(none).count() == 0
 
 
+def test_language_model_has_every_gram(docs, monkeypatch):
+    """A filter too small for the n-grams, or for any, gives the scores of one that holds them all."""
+    def scores(bits, most, load=0.01):
+        monkeypatch.setattr(bloom_lm, "LOAD", load)
+        got = bloom_lm.scored(docs, bits=bits, segment_bits=1 << 12, most_bits=most).collect()
+        return sorted((r.doc_id or -1, r.n_tokens, round(r.score, 6)) for r in got)
+
+    want = scores(1 << 12, 1 << 30)
+    assert scores(1 << 17, 1 << 17) == want
+    assert scores(1 << 12, 1 << 12, 1e-9) == want
+
+
 def test_filter_has_every_entry(spark):
     pairs = [(k * 7919 - 10**6, 1 + k % 50) for k in range(3000)]
     bits = bloom_lm.build(spark.createDataFrame(pairs, "key long, n long"), 1 << 18, 1 << 12)
