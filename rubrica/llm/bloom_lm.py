@@ -18,8 +18,8 @@ BITS, SEGMENT_BITS, PROBES, LOAD = 1 << 28, 1 << 18, 4, 0.15
 MOST_BITS = 1 << 30
 #: Words whose exact counts every worker holds; the others are joined.
 FREQUENT = 1 << 18
-#: Word pairs seen less often are left to the smoothing.
-MIN_PAIR = 2
+#: Word pairs seen less often are left to the smoothing; 1 keeps all.
+MIN_PAIR = 1
 #: Levels per doubling of a count.
 FINENESS = 2
 #: Weights of the pair model that are tried, and about how many learning texts they are fitted on.

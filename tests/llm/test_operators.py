@@ -228,6 +228,45 @@ def test_language_model_has_every_gram(docs, monkeypatch):
     assert scores(1 << 12, 1 << 12, 1e-9) == want
 
 
+def exact_scores(rows, fold=1):
+    """(id, score) of the pair model on exact counts of all n-grams, weights fitted on all learning rows."""
+    learned = lambda i: i is None or zlib.crc32(str(i).encode()) % 5 != fold
+    words = [(i, (t or "").encode().lower().split() + [b" "]) for i, t, *_ in rows]
+    befores = [[b" ", *ws[:-1]] for _, ws in words]
+    one = collections.Counter(w for i, ws in words if learned(i) for w in ws)
+    two = collections.Counter(p for (i, ws), vs in zip(words, befores) if learned(i) for p in zip(vs, ws))
+    level = lambda n: 1 + math.floor(bloom_lm.FINENESS * math.log2(n) + 1e-9) if n else 0
+    count = lambda n: max(1.0, 2 ** ((level(n) - 0.5) / bloom_lm.FINENESS)) if n else 0.0
+    denominator = sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def mass(v, w, less, a):
+        joint, history = max(count(two[v, w]) - less, 0.0), count(one[v]) - less
+        return a * joint / max(history, joint, 1.0) + (1 - a) * (count(one[w]) + 0.5) / denominator
+
+    bucket = lambda v: level(one[v]) // (2 * bloom_lm.FINENESS)
+    sums = collections.defaultdict(lambda: [0.0] * len(bloom_lm.GRID))
+    for (i, ws), vs in zip(words, befores):
+        for v, w in zip(vs, ws) if learned(i) else ():
+            for k, a in enumerate(bloom_lm.GRID):
+                sums[bucket(v)][k] += math.log(mass(v, w, 1.0, a))
+    weight = {b: bloom_lm.GRID[max(range(len(s)), key=s.__getitem__)] for b, s in sums.items()}
+    return [(i, sum(math.log10(mass(v, w, 0.0, weight.get(bucket(v), 0.0))) for v, w in zip(vs, ws))) for (i, ws), vs in zip(words, befores)]
+
+
+def test_language_model_scores(spark, docs, rows, monkeypatch):
+    """The scores of exact counts, pairs that training holds once included."""
+    learned = lambda i: i is None or zlib.crc32(str(i).encode()) % 5 != 1
+    pairs = collections.Counter(
+        p for i, t, *_ in rows if learned(i) for ws in [(t or "").lower().split()] for p in zip(ws, ws[1:]))
+    assert sum(n == 1 for n in pairs.values()) > 50
+    monkeypatch.setattr(bloom_lm, "LOAD", 0.01)
+    got = bloom_lm.scored(docs, bits=1 << 20, segment_bits=1 << 12).collect()
+    key = lambda r: (r[0] or -1, r[1])
+    got, want = sorted(((r.doc_id, r.score) for r in got), key=key), sorted(exact_scores(rows), key=key)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-6, atol=1e-6)
+
+
 def test_filter_has_every_entry(spark):
     pairs = [(k * 7919 - 10**6, 1 + k % 50) for k in range(3000)]
     bits = bloom_lm.build(spark.createDataFrame(pairs, "key long, n long"), 1 << 18, 1 << 12)
