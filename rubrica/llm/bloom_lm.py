@@ -22,8 +22,8 @@ FREQUENT = 1 << 18
 MIN_PAIR = 1
 #: Levels per doubling of a count.
 FINENESS = 2
-#: Weights of the pair model that are tried, and about how many learning texts they are fitted on.
-GRID, FIT_TEXTS = (0.0, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9), 2_000
+#: Weights of the pair model that are tried.
+GRID = (0.0, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 #: Tokens that a task counts at once.
 CHUNK = 1 << 21
 
@@ -275,7 +275,7 @@ def scored(
     probability of a pair model: counts are quantised by logarithm and stored as a
     unary run of entries in a Bloom filter, which workers probe level by
     level; P(w | v) = a c(v, w) / c(v) + (1 - a) P(w), where the weight a depends on c(v) and
-    is fitted on about FIT_TEXTS learning texts, chosen by a hash of their ids.  The filter has `bits`, or as many as
+    is fitted on all learning texts.  The filter has `bits`, or as many as
     its entries need, up to `most_bits` (or `bits`, if more); levels that do not fit are left out of it, and tokens and
     pairs not found in it are joined with the counts of those levels.  So all n-grams count at every size.
 
@@ -352,9 +352,7 @@ def scored(
     full = first.drop("tail")
     if lowest > 1:
         full = resolved(full, grams.where(~kept).select("key", level_of(F.col("n")).alias("level")))
-    every = max(1, first.count() // FIT_TEXTS)
-    sample = full.where(~F.col("held_out") & (F.pmod(F.xxhash64("i"), F.lit(every)) == 0)).select("word", "joint")
-    weights = fitted(sample, denominator, LEVELS // (2 * FINENESS) + 1)
+    weights = fitted(full.where(~F.col("held_out")).select("word", "joint"), denominator, LEVELS // (2 * FINENESS) + 1)
 
     def marked(batches):
         for batch in batches:

@@ -267,6 +267,14 @@ def test_language_model_scores(spark, docs, rows, monkeypatch):
     assert np.allclose([s for _, s in got], [s for _, s in want], rtol=1e-6, atol=1e-6)
 
 
+def test_language_model_learns_weights_from_all_rows(spark):
+    """Words that only a few rows of NULL id hold, among many others, have the weights of their own counts."""
+    rows = [(i, "a") for i in range(9_000)] + [(None, "u v " * 8)] * 40
+    got = bloom_lm.scored(spark.createDataFrame(rows, "doc_id long, text string"), bits=1 << 20, segment_bits=1 << 12).collect()
+    (want,) = {round(s, 6) for i, s in exact_scores(rows) if i is None}
+    assert {round(r.score, 6) for r in got if r.doc_id is None} == {want}
+
+
 def test_filter_has_every_entry(spark):
     pairs = [(k * 7919 - 10**6, 1 + k % 50) for k in range(3000)]
     bits = bloom_lm.build(spark.createDataFrame(pairs, "key long, n long"), 1 << 18, 1 << 12)
