@@ -12,6 +12,8 @@ from .components import components
 
 #: Pivots, the vectors they are chosen from, and the home vectors of a tile.
 PIVOTS, SAMPLE, BLOCK = 16, 2_048, 2_048
+#: Lengths of vectors, the commonest, that have pivots.
+LENGTHS = 1_000
 _SLACK = 1e-9
 
 
@@ -182,8 +184,9 @@ def near_vectors(
     with nothing, nor do vectors of different lengths; each is a component of its own.
     Rows of one vector link with each other, NULL ids too; the smallest id that is not
     NULL names a component, and a row without id is kept if nothing else names it.  An
-    empty table gives no rows.  The driver holds `sample` vectors at most, and counts of
-    cells.  Comparisons grow with the square of the input where vectors have no clusters
+    empty table gives no rows.  The commonest LENGTHS lengths of vectors have pivots, each
+    other length is one cell.  The driver holds `sample` vectors at most, counts of cells, and
+    pivots of each length.  Comparisons grow with the square of the input where vectors have no clusters
     that pivots could tell apart; rows moved grow with the visitors.
     """
     spark = vectors.sparkSession
@@ -197,9 +200,10 @@ def near_vectors(
     classes = materialise(
         rows.where("good").groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("m"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
-    dims = [r["d"] for r in classes.select(F.size("v").alias("d")).distinct().limit(1_000).collect()]
-    cells = {}
-    for d in dims:
+    sizes = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d")
+    dims = [r["d"] for r in sizes.collect()]
+    cells = {d: Cells(np.eye(1, d), radius) for d in dims[LENGTHS:]}
+    for d in dims[:LENGTHS]:
         own = classes.where(F.size("v") == d).orderBy(F.xxhash64("v"), "node").limit(sample).select("v").collect()
         cells[d] = Cells(spread_pivots(unit([r["v"] for r in own]), pivots), radius)
     base, first = 0, {}

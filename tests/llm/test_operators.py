@@ -147,6 +147,18 @@ def test_components(spark):
     assert {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()} == name
 
 
+def test_near_vectors_of_many_lengths(spark, monkeypatch):
+    """Lengths beyond those that have pivots are compared as well."""
+    rng = np.random.default_rng(6)
+    made = [(rng.normal(size=d)).tolist() for d in range(1, 9) for _ in range(6 * d)]
+    vectors = made + [[2 * x for x in v] for v in made]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    whole = {r.vec_id: r for r in metric_join.near_vectors(table, pivots=5, block=16).collect()}
+    monkeypatch.setattr(metric_join, "LENGTHS", 2)
+    got = {r.vec_id: r for r in metric_join.near_vectors(table, pivots=5, block=16).collect()}
+    assert got == whole and all(r.n_links >= 1 for r in got.values())
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(5)
     centre = rng.normal(size=8)
