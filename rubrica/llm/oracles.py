@@ -36,6 +36,33 @@ SELECT doc_id, size, source_size, target,
   CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM j"""
 
+AUDIT = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+    [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+     100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+     regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+  FROM w LEFT JOIN l USING (doc_id)),
+k AS (SELECT *, len(list_filter(fails, lambda f: f)) AS m FROM d),
+c AS (SELECT part, fails, good, bad, m, count(*) AS n FROM k GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS o, [a.i, b.i, c.i, d.i, e.i] AS i FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT array_to_string(o, '') AS filter_order, i, CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS step FROM o),
+j AS (SELECT c.*, filter_order, step, fails[i[step]] AS own,
+    len(list_filter(i[1:step - 1], lambda q: fails[q])) > 0 AS earlier FROM c, s)
+SELECT part, filter_order, step,
+  CAST(coalesce(sum(n) FILTER (NOT own AND NOT earlier), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (own AND NOT earlier), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (own AND earlier), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (own AND m = 1), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(n) FILTER (own AND NOT earlier AND good), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(n) FILTER (own AND NOT earlier AND bad), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * 120 // m) FILTER (own), 0) AS BIGINT) AS shapley
+FROM j GROUP BY ALL"""
+
 
 def _rule(rules, value: str) -> str:
     order = sorted(rules, key=lambda r: (len(r[1] + r[2]), r[1] + r[2]), reverse=True)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    blocks, bloom_lm, importance, jaccard, metric_join, mixing, oracles, tokens, toxicity, trie_bpe, url_tree,
+    blocks, bloom_lm, filter_audit, importance, jaccard, metric_join, mixing, oracles, quality_rules, target_resampling,
+    tokens, toxicity, trie_bpe, url_tree,
 )
 
 #: (verdict, host, path): the host and all its subdomains, paths that begin so.
@@ -73,11 +74,27 @@ def op10_importance(spark, sf_dir):
     return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_target_resampling(spark, sf_dir):
+    return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_rules(spark, sf_dir):
+    return quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_exact_dedup, op3_toxicity, op4_near_vectors, op5_word_bpe, op6_mixing, op7_bloom_lm,
-        op8_url_templates, op9_ngram_jaccard, op10_importance)}
+        op8_url_templates, op9_ngram_jaccard, op10_importance,
+        op11_filter_audit, op12_target_resampling, op13_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": oracles.EXACT, "op6_mixing": oracles.MIX, "op8_url_templates": oracles.urls(RULES)}
+    return {
+        "op2_exact_dedup": oracles.EXACT, "op6_mixing": oracles.MIX, "op8_url_templates": oracles.urls(RULES),
+        "op11_filter_audit": oracles.AUDIT,
+    }
