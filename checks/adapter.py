@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rubrica.schema import METRICS, ROW_ORDER
 from rubrica.sources.dimensions import Dimensions, load_dimensions
 from rubrica.sources.extracts import type_extract
+from rubrica.sources.sinks import ordered, write_csv
 
 #: Unique in the test tables; they stand for the place of a row in its file.
 FILE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
@@ -93,6 +94,17 @@ SELECT NULL, NULL, '10' || CAST(r_regionkey AS STRING) || CASE WHEN r_regionkey
 FROM {{region}}"""
 
 
+#: Printed before each report name: characters that paths encode.
+NAME_PREFIX = "R#1 50% + "
+
+#: Header cells of the lookup sheets as they are printed.
+UNITS_HEADER = (
+    "Código UGB", "Nome UGB", "Âmbito", "Província", "Distrito", "Adm2020_24", "Adm2025_29",
+    "Nível da Instituição", "Observação",
+)
+NAMES_HEADER = ("Código", "Designação", "Código Receita", "Tipo Receita", "Financiador")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -123,6 +135,21 @@ def typed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_extract(raw_extract(spark, sf_dir).drop("execucao_percent"))
 
 
+def write_reports(raw: DataFrame, folder: str, mode: str = "errorifexists") -> None:
+    """Reports as folders of CSV parts whose rows are in the order of the report."""
+    named = raw.withColumn("source_file", F.concat(F.lit(NAME_PREFIX), "source_file"))
+    write_csv(ordered(named, ["source_file"], [ROW_ORDER]).drop(ROW_ORDER), folder, ["source_file"], mode)
+
+
+def write_sheet(sheet: DataFrame, header, folder: str) -> None:
+    """A lookup sheet as one CSV file with a line above its header."""
+    spark = sheet.sparkSession
+    cells = [F.col(c).cast("string") for c in sheet.columns]
+    lines = sheet.select(F.lit(2).alias("n"), F.to_csv(F.struct(*cells), {"escape": '"', "nullValue": ""}).alias("line"))
+    head = spark.createDataFrame([(0, "Sistema de Administração Financeira"), (1, ",".join(header))], "n int, line string")
+    head.unionByName(lines).orderBy("n", "line").coalesce(1).select("line").write.text(folder)
+
+
 def units_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _view(spark, sf_dir, UNITS_SHEET, "supplier", "nation", "region")
 

@@ -263,6 +263,57 @@ _SECOND = dict(src="flagged", lone_d=True, lone_c=True, c_suffix="00", own_a=Fal
 _LEVEL_COLUMNS = ["source_file", "ugb", "ced", "ced_group", *METRICS, "CAST(is_parent AS STRING) AS is_parent"]
 
 
+_SORT = ", ".join(f"{c} NULLS LAST" for c in (*_KEY, "ced"))
+
+
+def _printed() -> tuple[str, str]:
+    """Rows under the report names that files were written with."""
+    return "printed", f"SELECT * REPLACE ('{adapter.NAME_PREFIX}' || source_file AS source_file) FROM kept"
+
+
+def _conserving() -> str:
+    """Parents by the longest present stem, looked up from every row to its ancestors."""
+    key = "source_file, ugb, funcao, programa, fr"
+    same = " AND ".join(f"c.{k} IS NOT DISTINCT FROM p.{k}" for k in key.split(", "))
+    sums = ", ".join(f"sum({m}) AS {m}" for m in METRICS)
+    net = ", ".join(
+        f"CASE WHEN t.{m} IS NULL THEN n.{m} ELSE coalesce(n.{m}, 0) - t.{m} END AS {m}" for m in METRICS)
+    return _with(
+        f"SELECT n.source_file, n.ugb, n.funcao, n.programa, n.fr, n.ced, n.parent, n.n_rows, {net} "
+        f"FROM linked n LEFT JOIN taken t ON n.id = t.parent_id",
+        ("nodes", f"SELECT *, row_number() OVER () AS id, rpad(rtrim(ced, '0'), CAST(greatest(2, length(rtrim(ced, '0'))) AS INTEGER), '0') "
+                  f"AS stem FROM (SELECT {key}, ced, count(*) AS n_rows, {sums} FROM valid GROUP BY ALL)"),
+        ("above", f"SELECT c.id AS child, p.id AS parent_id, p.ced AS parent, row_number() OVER "
+                  f"(PARTITION BY c.id ORDER BY length(p.stem) DESC) AS place FROM nodes c JOIN nodes p ON {same} "
+                  f"AND starts_with(c.stem, p.stem) AND length(p.stem) < length(c.stem)"),
+        ("linked", "SELECT n.*, a.parent_id, a.parent FROM nodes n LEFT JOIN above a ON n.id = a.child AND a.place = 1"),
+        ("taken", f"SELECT parent_id, {sums} FROM linked WHERE parent_id IS NOT NULL GROUP BY parent_id"),
+    )
+
+
+def _reconciled() -> str:
+    """Parts of the totals: the rows that were combined, listed and kept, each told apart by its own test."""
+    place = "PARTITION BY source_file, id_row_ced_5d"
+    parts = " UNION ALL ".join(f"""
+        SELECT v.source_file, v.ced_group, '{m}' AS metrica,
+          sum(CASE WHEN listed THEN coalesce(v.{m}, 0) - coalesce(l.{m}, 0) ELSE 0 END) FILTER (lead) AS children,
+          sum(coalesce(v.{m}, 0)) FILTER (NOT lead) AS siblings,
+          sum(coalesce(l.{m}, 0)) FILTER (lead AND listed AND NOT v.chosen) AS finer,
+          sum(coalesce(v.{m}, 0)) FILTER (lead AND NOT listed) AS unlisted
+        FROM v LEFT JOIN lines l USING ({_ORDER}, source_file) GROUP BY ALL""" for m in METRICS)
+    return _net(columns=["*"], source="told", then=[
+        # A group's row of one level stands for it if it is the first in the file.
+        ("ranked", f"SELECT *, row_number() OVER ({place} ORDER BY level_priority, stage, {_ORDER}) = 1 AS chosen, "
+                   f"row_number() OVER (PARTITION BY source_file, {_ORDER} ORDER BY level_priority, stage) AS turn FROM all_levels"),
+        ("lines", "SELECT * FROM ranked WHERE turn = 1"),
+        ("v0", f"SELECT *, row_number() OVER ({place}, ced_group ORDER BY {_ORDER}) = 1 AS lead FROM valid"),
+        ("v", f"SELECT v0.*, l.ced IS NOT NULL AS listed, coalesce(l.chosen, false) AS chosen FROM v0 "
+              f"LEFT JOIN (SELECT {_ORDER}, source_file, ced, chosen FROM lines) l USING ({_ORDER}, source_file)"),
+        ("told", f"SELECT source_file, ced_group, metrica, coalesce(children, 0) AS children, coalesce(siblings, 0) AS siblings, "
+                 f"coalesce(finer, 0) AS finer, coalesce(unlisted, 0) AS unlisted, 'true' AS balanced FROM ({parts})"),
+    ])
+
+
 def oracle_sql() -> dict[str, str]:
     level = lambda *names: _with(
         " UNION ALL BY NAME ".join(_select(_LEVEL_COLUMNS, n) for n in names), *_levels()
@@ -280,6 +331,36 @@ def oracle_sql() -> dict[str, str]:
             FROM typed GROUP BY source_file"""),
         "sink_csv": _net(),
         "sink_parquet": _net(columns=PROCESSED_COLUMNS, then=[_meta("kept")], source="processed"),
+        "publish_from_files": _net(
+            columns=FINAL_COLUMNS, then=[_printed(), _meta("printed"), _joined("processed")], source="joined"),
+        "publish_metric_range": _net(
+            columns=[*FINAL_COLUMNS, "CASE WHEN contains(source_file, 'CompExterna') "
+                     "THEN despesa_paga_via_directa_dp END AS extra_metrica"],
+            then=[_printed(), _meta("printed"), _joined("processed")], source="joined"),
+        "cast_metric_range": _with(
+            f"SELECT '{adapter.NAME_PREFIX}' || source_file AS source_file, {_M}, "
+            "CASE WHEN contains(source_file, 'CompInterna') THEN dotacao_revista END AS extra_metrica FROM typed"),
+        "typed_reading": """
+            SELECT CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE 'x' END || CAST(l_orderkey AS VARCHAR) AS codigo,
+              CAST(l_partkey AS DOUBLE) + CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE 0.5 END AS nota,
+              CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_suppkey AS INTEGER) END AS so_a,
+              CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS dia, 'string' AS codigo_type, 'double' AS nota_type,
+              'int' AS so_a_type, 'date' AS dia_type
+            FROM lineitem""",
+        "quarantine": _with(f"""
+            SELECT '{adapter.NAME_PREFIX}' || source_file AS source_file,
+              count(*) FILTER (NOT contains(source_file, 'CompExterna')) AS n_rows,
+              CASE WHEN contains(source_file, 'CompExterna') THEN 'malformed line' END AS missing
+            FROM typed GROUP BY ALL"""),
+        "sink_sorted": _net(columns=["*"], source="edges", then=[("edges", f"""
+            SELECT source_file, count(*) AS n,
+              {", ".join(f"any_value(first_{c}) AS first_{c}, any_value(last_{c}) AS last_{c}" for c in (*_KEY, "ced"))},
+              'true' AS in_order
+            FROM (SELECT source_file, {", ".join(
+                f"first_value({c}) OVER (w ORDER BY {_SORT}) AS first_{c}, "
+                f"last_value({c}) OVER (w ORDER BY {_SORT} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS last_{c}"
+                for c in (*_KEY, "ced"))}
+              FROM kept WINDOW w AS (PARTITION BY source_file)) GROUP BY source_file""")]),
         # columns
         "clean_names": _with(_select(
             ["source_file", "ugb", "funcao", "programa", "fr", "ced", "dotacao_inicial",
@@ -326,6 +407,10 @@ def oracle_sql() -> dict[str, str]:
             "SELECT source_file, ugb, ced, CASE WHEN hc THEN 'with_c' ELSE 'without_c' END AS side "
             "FROM valid JOIN has2 ON source_file = hf AND id_row_ced_2d IS NOT DISTINCT FROM hid",
             *_levels()),
+        "key_table_joins": _with(
+            "SELECT source_file, ugb, ced, CASE WHEN hc THEN 'with_c' ELSE 'without_c' END AS side "
+            "FROM valid JOIN has2 ON source_file = hf AND id_row_ced_2d IS NOT DISTINCT FROM hid",
+            *_levels()),
         "level_d": level("d_c", "d_b", "d_a"),
         "level_c": level("c_b", "c_a"),
         "level_b": level("b_a"),
@@ -360,6 +445,13 @@ def oracle_sql() -> dict[str, str]:
             FROM flagged LEFT JOIN dim_ugb ON ugb_id IS NOT DISTINCT FROM codigo_ugb
             WHERE ced IS NOT NULL AND ced NOT LIKE '%00'"""),
         # sets and checks
+        "net_conserving": _conserving(),
+        "reconcile_parts": _reconciled(),
+        "repeated_keys": _with("""
+            SELECT 'ugb' AS dim, codigo_ugb AS key, count(*) AS n FROM dim_ugb GROUP BY ALL HAVING count(*) > 1
+            UNION ALL SELECT 'ced', ced, count(*) FROM dim_ced GROUP BY ALL HAVING count(*) > 1
+            UNION ALL SELECT 'fr', fr, count(*) FROM dim_fr GROUP BY ALL HAVING count(*) > 1
+            UNION ALL SELECT 'distrito', distrito, count(*) FROM dim_ugb GROUP BY ALL HAVING count(*) > 1"""),
         "distinct_units": _with("SELECT DISTINCT codigo_ugb FROM dim_ugb"),
         "report_inventory": _with(
             f"SELECT DISTINCT {', '.join(META_COLUMNS[:3])} FROM processed", _meta("valid")),

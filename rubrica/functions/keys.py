@@ -8,7 +8,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import CLASSIFIER, MONEY, SOURCE_FILE, UNIT_KEY, Rules
+from ..schema import CLASSIFIER, LEVELS, MONEY, SOURCE_FILE, UNIT_KEY, Rules
 from .text import blank_to_null
 
 PREFIX_LENGTHS = (5, 4, 3, 2)
@@ -39,6 +39,24 @@ def ced_level(ced: Column | str = CLASSIFIER) -> Column:
     )
 
 
+#: One bit per level, so that the levels present in a group are one number; the highest is for rows without level.
+LEVEL_BIT = {"A": 1, "B": 2, "C": 4, "D": 8, None: 16}
+
+
+def level_bit() -> Column:
+    """The bit of a row's level."""
+    bit = F.when(F.col("ced_group").isNull(), LEVEL_BIT[None])
+    for name in LEVELS:
+        bit = bit.when(F.col("ced_group") == name, LEVEL_BIT[name])
+    return bit
+
+
+def has_level(mask: Column | str, level: str | None) -> Column:
+    """Whether a group with these level bits has rows of a level."""
+    mask = F.col(mask) if isinstance(mask, str) else mask
+    return mask.bitwiseAND(LEVEL_BIT[level]) != 0
+
+
 def level_tagged_id(with_ced: bool = True) -> Column:
     """Unit key and level as one id; the earlier form leaves the classifier out."""
     parts = [*UNIT_KEY, *([CLASSIFIER] if with_ced else []), "ced_group"]

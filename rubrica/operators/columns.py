@@ -28,14 +28,15 @@ def drop_matching(df: DataFrame, *patterns: str) -> DataFrame:
     return df.drop(*matching(df, *patterns))
 
 
-def range_names(df: DataFrame, first: str, last: str) -> list[str]:
-    a, b = df.columns.index(first), df.columns.index(last)
-    return df.columns[a : b + 1] if a <= b else df.columns[b : a + 1][::-1]
+def name_range(names: list[str], first: str, last: str) -> list[str]:
+    """The names from ``first`` to ``last`` by position, backwards if they stand so."""
+    a, b = names.index(first), names.index(last)
+    return names[a : b + 1] if a <= b else names[b : a + 1][::-1]
 
 
 def column_range(df: DataFrame, first: str, last: str) -> DataFrame:
     """All columns from ``first`` to ``last`` by position."""
-    return df.select(range_names(df, first, last))
+    return df.select(name_range(df.columns, first, last))
 
 
 def numeric_names(df: DataFrame) -> list[str]:

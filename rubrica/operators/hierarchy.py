@@ -8,23 +8,23 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import classify_level, derive_keys, prefix_group, with_group_columns
-from ..schema import METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, Rules
+from ..functions.keys import classify_level, derive_keys, has_level, level_bit, prefix_group, with_group_columns
+from ..schema import KEEP, METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, Rules
 from .groups import keep_first
-from .joins import filter_valid, flag_units, null_safe_join
+from .joins import Lookup, filter_valid, flag_units, null_safe_join
 
 PRIORITY = {"A": 1, "B": 2, "C": 3, "D": 4}
 
 
-def prepare_extract(typed: DataFrame, units: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
+def prepare_extract(typed: DataFrame, units: DataFrame | Lookup, rules: Rules = PRODUCTION) -> DataFrame:
     """Typed rows with keys, flags, level and grouping columns, filtered if the rules say so."""
     df = derive_keys(typed)
     if rules.prefilter:
         df = filter_valid(df, units).withColumns({
-            "mec_ugb_class": F.lit("Keep"), "ced_blank_class": F.lit("Keep"),
+            "mec_ugb_class": F.lit(KEEP), "ced_blank_class": F.lit(KEEP),
         })
     else:
         df = flag_units(df, units)
@@ -160,14 +160,67 @@ def level_a(df: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS) -> DataFr
     return rows.withColumns({"is_parent": F.lit(None).cast("boolean"), "__branch": F.lit(0)})
 
 
+def _role(parent: str, children: str, digits: int, metrics, subtracted: str, lone: bool) -> Column:
+    """A row's line in the table of one level, NULL if it has none there; see ``_level``, whose rows these are."""
+    level, mask = F.col("ced_group"), F.col(f"__mask{digits}")
+    child = F.col(f"__child{digits}")
+    # Rows without a level make the absence of the first child unknown.
+    usable = F.coalesce(child == children[0], F.lit(False)) | ~has_level(mask, None)
+    is_parent = level == parent
+    listed = usable & (F.coalesce(level == child, F.lit(False)) | is_parent & (child.isNotNull() | F.lit(lone)))
+    nets = is_parent & F.coalesce(child, F.lit(children[-1])).isin(*subtracted)
+    stage = F.lit(len(children) - 1)
+    for i, name in enumerate(children):
+        stage = F.when(child == name, i).otherwise(stage)
+    net = [F.when(nets, less(m, f"__less{digits}_{m}")).otherwise(F.col(m)).alias(m) for m in metrics]
+    return F.when(listed, F.struct(
+        *net, nets.alias("is_parent"), stage.alias("__branch"), F.lit(PRIORITY[parent]).alias("level_priority")))
+
+
+def _first_child(children: str, digits: int) -> Column:
+    out = F.lit(None).cast("string")
+    for name in reversed(children):
+        out = F.when(has_level(f"__mask{digits}", name), F.lit(name)).otherwise(out)
+    return out
+
+
 def union_levels(df: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS) -> DataFrame:
-    """The four levels one below the other, with their priority."""
-    levels = {"D": level_d, "C": level_c, "B": level_b, "A": level_a}
-    parts = [
-        step(df, rules, metrics).withColumn("level_priority", F.lit(PRIORITY[name]))
-        for name, step in levels.items()
+    """The four levels one below the other, with their priority.
+
+    Two passes over the input.  One adds up each level of each four-digit group, combined on the map
+    side; sums and levels of the three- and two-digit groups come from those few rows.  The other
+    joins every row to the sums of its three groups, in a join whose hot groups AQE splits, and
+    turns it into its lines: as a total on its own level, as a child on coarser ones.
+    """
+    below = {2: "CBA", 3: "BA", 4: "A"}
+    level = F.col("ced_group")
+    g4 = prefix_group(4)
+    sums = df.groupBy(*g4, "ced_group").agg(*[F.sum(m).alias(m) for m in metrics])
+    sums = sums.withColumn("__bit", level_bit()).repartition(*prefix_group(2)).sortWithinPartitions(*g4)
+    for digits, children in below.items():
+        over = Window.partitionBy(*prefix_group(digits))
+        sums = sums.withColumn(f"__mask{digits}", F.bit_or("__bit").over(over))
+        sums = sums.withColumn(f"__child{digits}", _first_child(children, digits))
+        child = F.col(f"__child{digits}")
+        sums = sums.withColumns({
+            f"__less{digits}_{m}": F.sum(F.when(level == child, F.col(m))).over(over) for m in metrics})
+    told = [f"__{what}{digits}" for digits in below for what in ("mask", "child")]
+    told += [f"__less{digits}_{m}" for digits in below for m in metrics]
+    # All rows of a group were told the same.
+    stats = sums.groupBy(*g4).agg(*[F.any_value(c).alias(c) for c in told])
+    rows = null_safe_join(df.filter(level.isNotNull()), stats, g4)
+
+    own_a = F.struct(*[F.col(m).alias(m) for m in metrics], F.lit(None).cast("boolean").alias("is_parent"),
+                     F.lit(0).alias("__branch"), F.lit(PRIORITY["A"]).alias("level_priority"))
+    lines = [
+        _role("D", below[2], 2, metrics, "CBA", rules.lone_d == "keep"),
+        _role("C", below[3], 3, metrics, "BA" if rules.c_over_a == "subtract" else "B", rules.lone_c == "C"),
+        _role("B", below[4], 4, metrics, "A", False),
+        F.when((level == "A") & F.lit(rules.a_rows == "own_level"), own_a),
     ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    out = rows.withColumn("__line", F.explode(F.array_compact(F.array(*lines))))
+    return out.select(*[F.col(f"__line.{c}") if c in metrics else F.col(c) for c in df.columns],
+                      "__line.is_parent", "__line.__branch", "__line.level_priority")
 
 
 def dedup_keys(rules: Rules) -> list[str]:

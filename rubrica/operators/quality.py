@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import prefix_group
@@ -35,6 +35,28 @@ def regex_slices(df: DataFrame) -> DataFrame:
     return df.withColumn("slice", slices)
 
 
+def order_of_files(df: DataFrame, keys, within=()) -> DataFrame:
+    """Per file of a table that was read from files: rows, first and last key, and whether it is in place.
+
+    ``within`` names the folder columns; files of a folder follow each other by name.  A file
+    is in place if no key is before its first, none behind its last, and its first is not
+    before the last of the file ahead of it.  Nothing is sorted but one line per file.
+    """
+    keys, within = list(keys), list(within)
+    # NULLs stand last, as ``ordered`` writes them.
+    key = F.struct(*[x for c in keys for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))])
+    place = F.struct("_metadata.file_block_start", "_metadata.row_index")
+    rows = df.select(*within, F.col("_metadata.file_name").alias("file"), key.alias("key"), place.alias("place"))
+    files = rows.groupBy(*within, "file").agg(
+        F.count("*").alias("n"), F.min_by("key", "place").alias("first"), F.max_by("key", "place").alias("last"),
+        F.min("key").alias("least"), F.max("key").alias("most"))
+    before = F.lag("last").over(Window.partitionBy(*within).orderBy("file"))
+    follows = F.coalesce(before <= F.col("first"), F.lit(True))
+    inside = (F.col("first") == F.col("least")) & (F.col("last") == F.col("most"))
+    shown = lambda edge: F.struct(*[F.col(f"{edge}.{c}") for c in keys]).alias(edge)
+    return files.withColumn("in_order", inside & follows).select(*within, "file", "n", shown("first"), shown("last"), "in_order")
+
+
 def level_totals(df: DataFrame, stage: str, metrics=METRICS) -> DataFrame:
     """Rows and metric totals per file and level."""
     return df.groupBy(SOURCE_FILE, "ced_group").agg(

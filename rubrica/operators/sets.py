@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import has_level, level_bit
 from ..schema import CLASSIFIER, SOURCE_FILE
+from .joins import null_safe_join
 
 
 def finest_level_keys(df: DataFrame, key: str = "id_row_ced_2d") -> DataFrame:
@@ -20,6 +22,21 @@ def finest_level_keys(df: DataFrame, key: str = "id_row_ced_2d") -> DataFrame:
     return df.groupBy(SOURCE_FILE, key).agg(finest.alias("finest_level"))
 
 
+def level_masks(df: DataFrame, *keys: str) -> DataFrame:
+    """Each key of each file with ``levels``, one bit per level present; see ``functions.keys.has_level``."""
+    return df.groupBy(SOURCE_FILE, *keys).agg(F.bit_or(level_bit()).alias("levels"))
+
+
+def split_keys(df: DataFrame, key: str, level: str) -> DataFrame:
+    """All keys with ``present``: whether they have the level.  Both halves from one aggregation."""
+    return level_masks(df, key).select(SOURCE_FILE, key, has_level("levels", level).alias("present"))
+
+
+def split_rows(df: DataFrame, key: str, level: str) -> DataFrame:
+    """All rows with ``present``: whether their key has the level.  Both halves from one join."""
+    return null_safe_join(df, split_keys(df, key, level), [SOURCE_FILE, key])
+
+
 def keys_with_level(df: DataFrame, key: str, level: str) -> DataFrame:
     return df.filter(F.col("ced_group") == level).select(SOURCE_FILE, key).distinct()
 

@@ -8,18 +8,19 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import ced_prefix, drop_all_zero, prefix_group, unit_id, with_group_columns
+from ..functions.keys import all_zero, ced_prefix, drop_all_zero, prefix_group, unit_id, with_group_columns
 from ..functions.metadata import with_file_metadata
 from ..operators.columns import matching, unpivot
 from ..operators.groups import keep_first
 from ..operators.hierarchy import less
-from ..operators.joins import filter_valid, lookup, null_safe_join
+from ..operators.joins import Lookup, filter_valid, lookup, null_safe_join
 from ..schema import (
     BUDGET_METRICS, CLASSIFIER, EXPENSE_METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, UNIT_KEY,
 )
 from ..sources.dimensions import Dimensions
 from .enrich import recode_central
 
+# The column order of the long table.
 LONG_COLUMNS = (
     SOURCE_FILE, "reporte_tipo", "data_reporte", "data_extraido", "ano", "mes",
     "ugb_id", "funcao", "programa", "fr", "ced", "metrica", "valor",
@@ -37,8 +38,8 @@ def legacy_base(typed: DataFrame, units: DataFrame, metrics=BUDGET_METRICS) -> D
     return with_group_columns(dedup_by_amount(rows, metrics[0]), PRODUCTION)
 
 
-def dedup_by_amount(df: DataFrame, amount: str) -> DataFrame:
-    """First row per unit key, three digits and amount.
+def dedup_by_amount(df: DataFrame, amount: str, also=()) -> DataFrame:
+    """First row per unit key, three digits and amount, and per ``also``.
 
     The number itself is the key.  A missing part, the amount included, makes the
     whole key missing: one such row per file is kept.
@@ -48,11 +49,11 @@ def dedup_by_amount(df: DataFrame, amount: str) -> DataFrame:
     keyed = df.withColumn("__present", present).withColumns(
         {name: F.when(F.col("__present"), c) for name, c in parts.items()}
     ).drop("__present")
-    return keep_first(keyed, [SOURCE_FILE, *parts]).drop(*parts)
+    return keep_first(keyed, [SOURCE_FILE, *also, *parts]).drop(*parts)
 
 
-def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS) -> DataFrame:
-    """Rows of multi-row groups with parents netted, and the rows outside any group.
+def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS, also=()) -> DataFrame:
+    """Rows of multi-row groups with parents netted, and the rows outside any group; groups are within ``also``.
 
     * four digits shared by several rows: rows ending in ``000`` less the others;
     * three digits shared by several rows, one of which is alone in its four
@@ -63,7 +64,7 @@ def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS) -> DataFrame:
     Sums of the three-digit groups come from those of the four-digit groups, of
     which one has as many as there are digits.  ``part`` tells the three apart.
     """
-    g4, g3 = prefix_group(4), prefix_group(3)
+    g4, g3 = [*also, *prefix_group(4)], [*also, *prefix_group(3)]
     ced = F.col(CLASSIFIER)
     per4 = base.groupBy(*g4).agg(
         F.count("*").alias("__n4"),
@@ -109,10 +110,36 @@ def legacy_block(
     return unpivot(with_file_metadata(slim, SOURCE_FILE), shown).select(*LONG_COLUMNS)
 
 
-def legacy_long(typed: DataFrame, units: DataFrame, drop_helper: bool = False) -> DataFrame:
-    """Budget and expense block of all files, one below the other."""
-    budget = legacy_block(typed, units, BUDGET_METRICS)
-    return budget.unionByName(legacy_block(typed, units, EXPENSE_METRICS, drop_helper))
+BLOCKS = (BUDGET_METRICS, EXPENSE_METRICS)
+
+
+def legacy_long(typed: DataFrame, units: DataFrame | Lookup, drop_helper: bool = False) -> DataFrame:
+    """Budget and expense block of all files, one below the other: ``legacy_block`` of both in one pass.
+
+    A row is split into its blocks first, whose metrics share columns; dedup and netting then
+    go by block.
+    """
+    width = max(map(len, BLOCKS))
+    shared = [f"__m{i}" for i in range(width)]
+    block_of = lambda i, block: F.when(~all_zero(block), F.struct(
+        F.lit(i).alias("__block"),
+        *[(F.col(block[k]) if k < len(block) else F.lit(None).cast(kind)).alias(m) for k, m in enumerate(shared)]))
+    kind = typed.schema[BUDGET_METRICS[0]].dataType
+    rows = filter_valid(typed.withColumn("ugb_id", unit_id()), units)
+    rows = rows.withColumn("__x", F.explode(F.array_compact(F.array(*[block_of(i, b) for i, b in enumerate(BLOCKS)]))))
+    rows = rows.select(SOURCE_FILE, ROW_ORDER, "ugb_id", *UNIT_KEY, CLASSIFIER, "__x.*")
+    base = with_group_columns(dedup_by_amount(rows, shared[0], ["__block"]), PRODUCTION)
+    slim = legacy_adjust(base, shared, ["__block"]).select(
+        SOURCE_FILE, "ugb_id", "funcao", "programa", "fr", "ced", "__block", *shared)
+    # Metadata before the unpivot: it is worked out once per row, not once per metric.
+    slim = with_file_metadata(slim, SOURCE_FILE)
+    named = F.lit(None)
+    for i, block in enumerate(BLOCKS):
+        cells = [F.struct(F.lit(m).alias("metrica"), F.col(shared[k]).alias("valor"))
+                 for k, m in enumerate(block) if not (drop_helper and m == DROPPED_HELPER)]
+        named = F.when(F.col("__block") == i, F.array(*cells)).otherwise(named)
+    return slim.withColumn("__cell", F.explode(named)).select(
+        *LONG_COLUMNS[:-2], "__cell.metrica", "__cell.valor")
 
 
 def enrich_long(long: DataFrame, dims: Dimensions) -> DataFrame:

@@ -22,12 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import KEY_MISSING, derive_keys, prefix_group
+from ..functions.keys import KEY_MISSING, derive_keys, has_level, level_bit, prefix_group
 from ..functions.metadata import with_file_metadata
 from ..operators.hierarchy import less, prepare_extract
-from ..operators.joins import flag_units
+from ..operators.joins import Lookup, flag_units
 from ..schema import (
-    CLASSIFIER, METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, UNIT_KEY, Rules,
+    CLASSIFIER, KEEP, METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, UNIT_KEY, Rules,
 )
 
 DERIVED = (
@@ -38,7 +38,7 @@ FLAGS = ("mec_ugb_class", "ced_blank_class", "ced_group", "is_parent")
 
 
 def net_extract(
-    typed: DataFrame, units: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS
+    typed: DataFrame, units: DataFrame | Lookup, rules: Rules = PRODUCTION, metrics=METRICS
 ) -> DataFrame:
     """Typed extract rows -> one netted row per key, all files at once.
 
@@ -52,7 +52,7 @@ def net_extract(
     )
     out = derive_keys(kept)
     if rules.prefilter:
-        out = out.withColumns({"mec_ugb_class": F.lit("Keep"), "ced_blank_class": F.lit("Keep")})
+        out = out.withColumns({"mec_ugb_class": F.lit(KEEP), "ced_blank_class": F.lit(KEEP)})
     else:
         out = flag_units(out, units)
     return out.select(
@@ -61,7 +61,7 @@ def net_extract(
 
 
 def process_extracts(
-    typed: DataFrame, units: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS
+    typed: DataFrame, units: DataFrame | Lookup, rules: Rules = PRODUCTION, metrics=METRICS
 ) -> DataFrame:
     """``net_extract`` with the metadata of each row's report."""
     return with_file_metadata(net_extract(typed, units, rules, metrics), SOURCE_FILE, "fonte_reporte")
@@ -81,15 +81,11 @@ def _combine(rows: DataFrame, rules: Rules, metrics, extras) -> DataFrame:
     payload = [own_unit.alias("unit"), CLASSIFIER, *metrics, *extras]
     first = F.min(F.struct(ROW_ORDER, *payload)).alias("__first")
     sums = [F.sum(m).alias(f"__sum_{m}") for m in metrics]
-    return rows.groupBy(*keys).agg(first, *sums)
+    return rows.groupBy(*keys).agg(first, F.count("*").alias("__n"), *sums)
 
 
-#: One bit per level, so that the levels present in a group are one number.
-_BIT = {"A": 1, "B": 2, "C": 4, "none": 8}
-
-
-def _present(level: str, digits: int) -> Column:
-    return F.col(f"__levels{digits}").bitwiseAND(_BIT[level]) != 0
+def _present(level: str | None, digits: int) -> Column:
+    return has_level(f"__levels{digits}", level)
 
 
 def _with_totals(combined: DataFrame, rules: Rules, metrics) -> DataFrame:
@@ -99,9 +95,6 @@ def _with_totals(combined: DataFrame, rules: Rules, metrics) -> DataFrame:
     placed = combined.repartition(*g2).sortWithinPartitions(*prefix_group(5))
     w2, w3, w4 = (Window.partitionBy(*g) for g in (g2, g3, g4))
     level = F.col("ced_group")
-    bit = F.when(level.isNull(), _BIT["none"]).otherwise(0)
-    for name in "ABC":
-        bit = F.when(level == name, _BIT[name]).otherwise(bit)
 
     def totals(digits: int, which: Column | str, w) -> dict[str, Column]:
         return {
@@ -112,7 +105,7 @@ def _with_totals(combined: DataFrame, rules: Rules, metrics) -> DataFrame:
     def levels(digits: int, w) -> dict[str, Column]:
         return {f"__levels{digits}": F.bit_or("__bit").over(w)}
 
-    df = placed.withColumn("__bit", bit).withColumns(levels(2, w2))
+    df = placed.withColumn("__bit", level_bit()).withColumns(levels(2, w2))
     df = df.withColumns({**levels(3, w3), **totals(3, "B", w3)})
     df = df.withColumns({**levels(4, w4), **totals(4, "A", w4)})
     child = F.when(_present("C", 2), "C").when(_present("B", 2), "B").otherwise("A")
@@ -134,12 +127,19 @@ def _with_totals(combined: DataFrame, rules: Rules, metrics) -> DataFrame:
     return df.withColumns(out)
 
 
-def _choose(totals: DataFrame, rules: Rules, metrics) -> DataFrame:
-    """Priority and net value of every candidate, then the best one per key."""
+#: A row is chosen by these, the lowest first.
+CHOICE = ("__priority", "__stage", ROW_ORDER)
+
+
+def candidates(totals: DataFrame, rules: Rules, metrics) -> DataFrame:
+    """Every combined row with its priority, NULL where no level lists it, and its net value in place of each metric.
+
+    Columns that begin with ``__sum_`` and ``__less_`` are the sum of its rows and what a parent loses.
+    """
     level = F.col("ced_group")
     c2, b2, a2 = (_present(name, 2) for name in "CBA")
     b3, a3, a4 = _present("B", 3), _present("A", 3), _present("A", 4)
-    known = ~_present("none", 2)
+    known = ~_present(None, 2)
     keep_lone_d, keep_lone_c = F.lit(rules.lone_d == "keep"), F.lit(rules.lone_c == "C")
     c_fallback = known & (a3 | keep_lone_c)
     d_listed = c2 | known & (b2 | a2 | keep_lone_d)
@@ -160,26 +160,31 @@ def _choose(totals: DataFrame, rules: Rules, metrics) -> DataFrame:
         .when(level == "B", a4).when(level == "C", c_nets).otherwise(True)
     )
 
-    candidates = totals.select(
-        *prefix_group(5), level, "__first.*",
-        priority.alias("__priority"), stage.alias("__stage"), is_parent.alias("is_parent"),
-        *[f"__less_{m}" for m in metrics],
-    ).filter(F.col("__priority").isNotNull())
-    net = [
-        F.when(F.col("is_parent"), less(m, f"__less_{m}")).otherwise(F.col(m)).alias(m)
-        for m in metrics
-    ]
-    by_key = {
+    net = {m: F.when(F.col("is_parent"), less(m, f"__less_{m}")).otherwise(F.col(m)) for m in metrics}
+    found = totals.select(
+        *prefix_group(5), level, "__first.*", priority.alias("__priority"), stage.alias("__stage"),
+        is_parent.alias("is_parent"), "__n", *[f"__sum_{m}" for m in metrics], *[f"__less_{m}" for m in metrics],
+    )
+    return found.withColumns({f"__own_{m}": F.col(m) for m in metrics}).withColumns(net)
+
+
+def choice_key(rules: Rules) -> list[str]:
+    """What one row is kept per."""
+    return {
         "prefix5": prefix_group(5),
         "unit_ced": [*prefix_group(5), CLASSIFIER],
         "ced": [SOURCE_FILE, CLASSIFIER],
     }[rules.dedup_key]
-    names = [c for c in candidates.columns if not c.startswith("__less_")]
-    candidates = candidates.select(*[n for n in names if n not in metrics], *net)
-    payload = [c for c in candidates.columns if c not in by_key]
-    order = ["__priority", "__stage", ROW_ORDER]
-    best = F.min(F.struct(*order, *[c for c in payload if c not in order])).alias("__best")
-    kept = candidates.groupBy(*by_key).agg(best).select(*by_key, "__best.*")
+
+
+def _choose(totals: DataFrame, rules: Rules, metrics) -> DataFrame:
+    """The best candidate per key."""
+    found = candidates(totals, rules, metrics).filter(F.col("__priority").isNotNull())
+    by_key = choice_key(rules)
+    helpers = ("__n", "__sum_", "__less_", "__own_")
+    payload = [c for c in found.columns if c not in by_key and not c.startswith(helpers)]
+    best = F.min(F.struct(*CHOICE, *[c for c in payload if c not in CHOICE])).alias("__best")
+    kept = found.groupBy(*by_key).agg(best).select(*by_key, "__best.*")
     unit = {
         c: F.when(F.col("unit").isNotNull(), F.col(f"unit.{c}")).otherwise(F.col(f"_{c}"))
         for c in UNIT_KEY

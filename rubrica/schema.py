@@ -40,6 +40,9 @@ EXACT = "decimal(18,2)"
 
 LEVELS = ("A", "B", "C", "D")
 
+# What the published flags of a row say.
+KEEP, REMOVE = "Keep", "Remove"
+
 
 @dataclass(frozen=True)
 class Rules:

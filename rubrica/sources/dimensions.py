@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import tidy_text
 from ..functions.text import clean_names, strip_decimal_zeros, title_case
 from ..operators.columns import column_range
+from ..operators.joins import Lookup, prepare_lookup, repeated_keys, rows_of
 from .extracts import MALFORMED
 
 UNIT_RANGE = ("codigo_ugb", "nivel_da_instituicao")
@@ -18,9 +20,22 @@ UNIT_RANGE = ("codigo_ugb", "nivel_da_instituicao")
 
 @dataclass(frozen=True)
 class Dimensions:
-    ugb: DataFrame
-    ced: DataFrame
-    fr: DataFrame
+    """The lookups of units, classifiers and funds; after ``prepared`` each is evaluated and checked."""
+
+    ugb: DataFrame | Lookup
+    ced: DataFrame | Lookup
+    fr: DataFrame | Lookup
+
+    def prepared(self) -> "Dimensions":
+        return Dimensions(
+            prepare_lookup(self.ugb, "codigo_ugb"), prepare_lookup(self.ced, "ced"), prepare_lookup(self.fr, "fr"))
+
+    def repeated_keys(self) -> DataFrame:
+        """(dim, key, n) of the keys that a lookup holds more than once; they multiply the rows looked up."""
+        keys = {"ugb": (self.ugb, "codigo_ugb"), "ced": (self.ced, "ced"), "fr": (self.fr, "fr")}
+        parts = [repeated_keys(rows_of(dim), key).select(F.lit(name).alias("dim"), F.col(key).alias("key"), "n")
+                 for name, (dim, key) in keys.items()]
+        return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def read_table(
@@ -86,6 +101,6 @@ def load_dimensions(units_sheet: DataFrame, names_sheet: DataFrame) -> Dimension
     )
 
 
-def unit_codes(units: DataFrame) -> DataFrame:
+def unit_codes(units: DataFrame | Lookup) -> DataFrame:
     """The distinct unit codes: the list of units to keep."""
-    return units.select("codigo_ugb").distinct()
+    return rows_of(units).select("codigo_ugb").distinct()

@@ -31,6 +31,15 @@ def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "errori
     ordered(df, partition_by, sort_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by, sort_by=()) -> None:
+    """Write parquet; of what is there, only the partitions that ``df`` has rows for are replaced.
+
+    ``df`` must not read from ``path``.
+    """
+    rows = ordered(df, partition_by, sort_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new path in the folder that all executors share.
 
@@ -43,3 +52,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="rubrica-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``df`` from a copy in the scratch folder; what they came from is not read again."""
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
