@@ -14,8 +14,10 @@ BLOCK_BYTES = 8_192
 
 
 def folded(text: Column) -> Column:
-    """A-Z in lower case, nothing else changed; NULL counts as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z in lower case, nothing else changed; NULL counts as empty.  In ASCII texts that is their lower case."""
+    text = F.coalesce(text, F.lit(""))
+    ascii_alone = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_alone, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def _named(pieces: DataFrame, bucket) -> DataFrame:
@@ -62,9 +64,8 @@ def exact_groups(
         F.expr(f"transform(sequence(0, greatest(octet_length(body) - 1, 0) div {block_bytes}), "
                f"i -> substring(body, cast(i * {block_bytes} + 1 as int), {block_bytes}))").alias("blocks"))
     pieces = cut.select("id", "sha", "size", F.posexplode("blocks").alias("pos", "key"))
-    longest = body.agg(F.max(F.octet_length("body"))).first()[0]
-    if longest is None:
-        longest = 0
+    # Folding keeps lengths, so the longest text needs none.
+    longest = docs.agg(F.max(F.octet_length(F.col(text_col)))).first()[0] or 0
     row = ["id", "sha", "size"]
     names = materialise(
         _named(pieces, bucket).groupBy(*row, "pos", "bucket", "place").agg(F.count("*").alias("copies")), "names")
