@@ -6,8 +6,9 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialise
+from .common import free_prefix, materialise
 
 #: Bytes of a block; most texts are a few blocks.
 BLOCK_BYTES = 8_192
@@ -50,7 +51,8 @@ def exact_groups(
     Texts are equal if identical after lower-casing A-Z; of equal texts the row of largest
     id stays.  Each text is cut into blocks of fixed size, blocks get integer names, then
     neighbouring names are paired and the pairs named, until one name is left: equal for
-    equal texts of a length, and for no others, whatever `bucket` maps together.
+    equal texts of a length, and for no others, whatever `bucket` maps together.  A name is
+    a 64-bit hash and, only where several keys share it, the rank of the key among those sorted.
 
     NULL texts count as empty.  A NULL id is smaller than all others; if a group has no
     other, its keep_id is NULL.  Rows repeated with id and text all come back, and one of
@@ -102,9 +104,34 @@ def exact_groups(
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that exact_groups keeps, with all their columns."""
+    """The rows that exact_groups keeps, with all their columns, whatever those are called.
+
+    NULL texts count as empty, and a NULL id as the smallest.  Of rows that share id and text
+    the least by all their other columns stays, so reruns agree; maps and other columns
+    that have no order are not looked at.  An empty table gives no rows.  Texts move once,
+    the rows of one id and text combined in each task.
+    """
+    p = free_prefix(docs)
+    key, own, row = p + "key", p + "own", p + "row"
+    # Ids as text without NULLs, so that the grouping and the join below share one exchange.
+    of = lambda c: F.when(c.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), c.cast("string")))
     stay = exact_groups(docs, id_col, text_col).where("kept").select(
-        F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha"))
-    tagged = docs.withColumn("__own", F.sha2(folded(F.col(text_col)).cast("binary"), 256))
-    joined = tagged.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__sha")), "left_semi")
-    return joined.dropDuplicates([id_col, "__own"]).drop("__own")
+        of(F.col(id_col)).alias(key), F.col("text_sha256").alias(own)).distinct()
+    sortable = [f.name for f in docs.schema if _has_order(f.dataType)]
+    others = [c for c in docs.columns if c not in sortable]
+    order = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(sortable)])
+    least = F.min(order) if not others else F.min_by(
+        F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]), order)
+    names = docs.columns if others else sortable
+    one = docs.groupBy(of(F.col(id_col)).alias(key), F.sha2(folded(F.col(text_col)).cast("binary"), 256).alias(own)).agg(least.alias(row))
+    kept = one.join(stay, [key, own], "left_semi")
+    at = {c: i for i, c in enumerate(names)}
+    return kept.select(*[F.col(f"{row}.c{at[c]}").alias(c) for c in docs.columns])
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind)
+    return not isinstance(kind, (T.MapType, T.VariantType))

@@ -27,6 +27,14 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A beginning that no column name of df has, whatever its case, for columns that are added for a while."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def remainder(key: Column, modulus: int = 5) -> Column:
     """CRC-32 of a key as text, modulo; NULL keys give -1, so they are never held out."""
     return F.coalesce(F.pmod(F.crc32(key.cast("string").cast("binary")), F.lit(modulus)), F.lit(-1)).cast("int")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bloom_lm import Filter, build
-from .common import WordHashes, as_long, batches_of, materialise, ngram_hashes, texts
+from .common import WordHashes, as_long, batches_of, free_prefix, materialise, ngram_hashes, texts
 from .components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -401,7 +401,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id names their component."""
+    """The rows of docs whose id names their component, with all their columns, whatever those are called.
+
+    Rows without words, and of a NULL id, are components of their own and stay; rows repeated
+    with the id that names a component all stay.  An empty table gives no rows.
+    """
+    named = free_prefix(docs) + "id"
     kept = jaccard_groups(docs, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("__id")).distinct()
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+        F.col(id_col).alias(named)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(named)), "left_semi")

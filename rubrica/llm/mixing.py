@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import free_prefix, materialise
 
 WEIGHTS = (3, 1, 2)
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -45,30 +45,39 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2)
 
 def mixed(
     docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2, seed: str = "mix",
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", prefix: str = "__",
 ) -> DataFrame:
-    """docs with __size, __source_size, __target and __copies, the times the mix takes the row.
+    """docs with size, source_size, target and copies, the times the mix takes the row; the names begin with `prefix`.
 
     The size of a text is its number of words.  A row is taken floor(rate) times, rate
     being target over size of its source, and once more with the fraction as probability,
     decided by a hash of seed and id; so reruns agree, and rows of one id are taken alike.
     NULL and empty texts have size 0; NULL sources are one source; a source without words
-    has target 0 and is not taken; an empty table gives no rows.  Two scans; sums are
+    has target 0 and is not taken; an empty table gives no rows.  A column of docs that has
+    one of the new names is an error.  Two scans; sums are
     combined in each task, and the one row per source is joined as Spark finds fit.
     """
+    name = {c: prefix + c for c in ("size", "source", "source_size", "target", "copies")}
+    clash = sorted(set(name.values()) & {c.lower() for c in docs.columns})
+    if clash:
+        raise ValueError(f"docs has columns {clash}; give another prefix")
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
     goal = materialise(
         targets(docs.select(F.col(source_col).alias("source"), size.alias("size")), weights, share, cap)
-        .select(F.col("source").alias("__source"), F.col("source_size").alias("__source_size"),
-                F.col("target").alias("__target")), "targets")
-    joined = (docs.withColumn("__size", size)
-              .join(goal, F.col(source_col).eqNullSafe(F.col("__source")), "left").drop("__source"))
-    rate = F.when(F.col("__source_size") > 0, F.col("__target") / F.col("__source_size")).otherwise(F.lit(0.0))
+        .select(*[F.col(c).alias(name[c]) for c in ("source", "source_size", "target")]), "targets")
+    joined = (docs.withColumn(name["size"], size)
+              .join(goal, F.col(source_col).eqNullSafe(F.col(name["source"])), "left").drop(name["source"]))
+    whole = F.col(name["source_size"])
+    rate = F.when(whole > 0, F.col(name["target"]) / whole).otherwise(F.lit(0.0))
     extra = (uniform(F.col(id_col), seed) < rate - F.floor(rate)).cast("long")
-    return joined.withColumn("__copies", F.floor(rate) + extra)
+    return joined.withColumn(name["copies"], F.floor(rate) + extra)
 
 
 def taken(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of docs as many times as the mix takes it."""
-    return (mixed(docs, **options).where("__copies > 0")
-            .withColumn("__copy", F.explode(F.expr("sequence(1L, __copies)"))).select(*docs.columns))
+    """The mix itself: each row of docs as many times as the mix takes it, with its own columns, whatever they are called.
+
+    Rows of one id are taken alike, so ties and repeated rows are no question; for NULLs and empty tables see `mixed`.
+    """
+    p = free_prefix(docs)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(p + "copies"))).alias(p + "copy")
+    return mixed(docs, **options, prefix=p).where(F.col(p + "copies") > 0).select(*docs.columns, times).drop(p + "copy")

@@ -285,7 +285,11 @@ def toxicity(
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of docs whose text scores below 0.5."""
+    """The rows of docs whose text scores below 0.5, with their columns as they are.
+
+    NULL texts count as empty and stay.  Each row is judged by itself, so repeated rows and
+    NULL ids make no difference.  An empty table gives no rows.
+    """
     model = learn(docs, labels, **options)
     batches_of(docs.sparkSession)
     return docs.where(score_column(model, F.col(options.get("text_col", "text"))) < 0.5)
