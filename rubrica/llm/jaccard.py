@@ -19,8 +19,13 @@ WORDS, PERCENT = 5, 75
 FREQUENT, REPORTED, CHUNK = 1 << 16, 3, 1 << 22
 #: How much wider the bitmaps are that compare groups of more than two, and all candidates.
 WIDER = 4
-#: Neighbours that a set is tried with at first, and sweeps over representatives (speed alone).
-PARTNERS, SWEEPS = 3, 2
+#: Neighbours that a set is tried with at first, sweeps over representatives, and rounds in which
+#: each component has PICKS of its candidates verified before the rest is (speed alone).
+PARTNERS, SWEEPS, ROUNDS, PICKS = 3, 1, 2, 4
+#: Sets that a worker knows it has seen (speed alone: later steps drop copies anyway).
+SEEN = 1 << 15
+#: Ids that are sent to every executor, 8 bytes each; more are joined by shuffle.
+BROADCAST_IDS = 1 << 17
 #: Earlier keys of a set that a tile row carries, by which pairs met before are told (speed alone).
 EARLIER = 8
 #: Bits of the filter that finds the texts of candidates, and of its segments.
@@ -103,7 +108,7 @@ def _profiles(batches):
                 seen.add(i)
                 held.append(s)
                 size += len(s)
-        if size >= CHUNK:
+        if size >= CHUNK or len(seen) >= SEEN:
             yield flush()
             held, seen, size = [], set(), 0
     if held:
@@ -154,19 +159,27 @@ def _bounded(batches):
 
 
 def met(earlier: np.ndarray, key: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether the keys that rows i and j of a key carry hold a common one below it; unused places hold the key."""
+    """Whether the keys ahead of theirs that rows i and j of a key carry hold a common one; unused places hold the key."""
     out = np.zeros(len(i), bool)
     for k in range(earlier.shape[1]):
         own = earlier[i, k]
-        out |= (own < key[i]) & (earlier[j] == own[:, None]).any(axis=1)
+        out |= (own != key[i]) & (earlier[j] == own[:, None]).any(axis=1)
     return out
 
 
-def paired(run: np.ndarray, part: np.ndarray, label: np.ndarray, n: np.ndarray, bits: list[bytes], cross: np.ndarray,
-           key: np.ndarray, earlier: np.ndarray):
+def most_of(n, place):
+    """The size of the largest set that can link with a set of n, if its element at `place` is their first common one.
+
+    They share n - place elements at most, and need 3 / 7 of both sizes.
+    """
+    return (4 * n - 7 * place) // 3
+
+
+def paired(run: np.ndarray, part: np.ndarray, label: np.ndarray, n: np.ndarray, most: np.ndarray, bits: list[bytes],
+           cross: np.ndarray, key: np.ndarray, earlier: np.ndarray):
     """Pairs (i, j) of rows of one run, sorted by n, that may link.
 
-    Sizes bound the ratio, labels must differ, rows of crossed tiles must be of different
+    Sizes bound the ratio, places of the key in both sets the sizes, labels must differ, rows of crossed tiles must be of different
     parts, and the bitmaps must allow the overlap.  A pair that shares an earlier key has
     met there, under the same conditions: at its first common key nothing holds it back.
     """
@@ -181,6 +194,7 @@ def paired(run: np.ndarray, part: np.ndarray, label: np.ndarray, n: np.ndarray,
         left = left[(run[left] == run[right]) & (100 * n[left] >= PERCENT * n[right])]
         right = left + step
         ok = (label[left] != label[right]) & (~cross[left] | (part[left] != part[right]))
+        ok &= (n[right] <= most[left]) & (n[left] <= most[right])
         i, j = left[ok], right[ok]
         if len(i):
             new = ~met(earlier, key, i, j)
@@ -198,11 +212,11 @@ def _candidates(batches):
         table = pa.concat_tables(tables).combine_chunks()
         if not table.num_rows:
             return
-        col = {c: table.column(c).to_numpy() for c in (*tile, "part", "label", "set_id", "n")}
+        col = {c: table.column(c).to_numpy() for c in (*tile, "part", "label", "set_id", "n", "most")}
         change = np.zeros(table.num_rows, bool)
         for c in tile:
             change[1:] |= col[c][1:] != col[c][:-1]
-        for i, j in paired(np.cumsum(change), col["part"], col["label"], col["n"].astype(np.int64),
+        for i, j in paired(np.cumsum(change), col["part"], col["label"], col["n"].astype(np.int64), col["most"],
                            table.column("bits").to_pylist(), col["one"] != col["two"], col["key"],
                            table.column("earlier").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)):
             a, b = col["set_id"][i], col["set_id"][j]
@@ -230,6 +244,18 @@ def _candidates(batches):
         yield from pairs(waiting)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The sets of pairs (a, b), each once."""
+    return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+
+
+def _of_pairs(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The classes that pairs are of, in a table of their own, so that the joins of the pairs move no other."""
+    ends = materialise(_ends(pairs), "ends")
+    few = ends.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return materialise(classes.join(F.broadcast(ends) if few else ends, "set_id", "left_semi"), "asked")
+
+
 def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that link: wide bitmaps first, then exact intersection of sorted arrays.
 
@@ -237,8 +263,10 @@ def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> Dat
     fixed size over their ids spares the other texts, so that no text is shuffled; what
     passes by chance goes in the exact join.
     """
-    one = classes.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa"))
-    two = classes.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
+    candidates = materialise(candidates, "pairs")
+    asked = _of_pairs(classes, candidates)
+    one = asked.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa"))
+    two = asked.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb"))
     small = F.col("na") <= F.col("nb")
 
     def either(x: str, y: str) -> list:
@@ -248,8 +276,8 @@ def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> Dat
                for k, c in zip(names, either(*pair))]
     candidates = materialise(
         candidates.join(one, "a").join(two, "b").select(*columns).mapInArrow(_bounded, "a long, b long"), "bounded")
-    wanted = materialise(candidates.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "wanted")
-    ids = classes.join(wanted, "set_id").select(F.xxhash64("least").alias("key"), F.lit(1).alias("n"))
+    wanted = materialise(_ends(candidates), "wanted")
+    ids = asked.join(wanted, "set_id").select(F.xxhash64("least").alias("key"), F.lit(1).alias("n"))
     passing = rows.sparkSession.sparkContext.broadcast(build(ids, WANTED_BITS, WANTED_SEGMENT))
 
     def sets(batches):
@@ -318,46 +346,53 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         frequent, parts = shared.value
         order = Order(frequent)
         for batch in batches:
-            out = ([], [], [], [])
+            out = ([], [], [], [], [])
             for i, text in zip(batch.column("i").to_pylist(), texts(batch.column("t"))):
                 s = shingles(words, text) if i is not None else ()
                 if not len(s) or (own := fingerprint(s)) in done:
                     continue
-                if len(done) > 1_000_000:
+                if len(done) >= SEEN:
                     done.clear()
                 done.add(own)
                 first, ranks = order.prefix(s)
                 for column, values in zip(out, (
                         as_long(first), np.full(len(first), own), np.full(len(first), len(s)),
+                        most_of(len(s), np.arange(len(first))),
                         np.where(ranks >= 0, parts[ranks], 1) if len(parts) else np.ones(len(first), np.int64))):
                     column.append(values)
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["key", "set_id", "n", "parts"])
+                    [pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["key", "set_id", "n", "most", "parts"])
 
-    keyed = rows.mapInArrow(prefixes, "key long, set_id long, n long, parts long").select(
+    keyed = rows.mapInArrow(prefixes, "key long, set_id long, n long, most long, parts long").select(
         "key", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("set_id"), "parts")).otherwise(F.lit(0)).cast("int").alias("part"),
-        F.col("n").cast("int").alias("n"), "set_id", F.col("parts").cast("int").alias("parts"))
-    # Copies that several tasks met go; then a row is of use only if the next smaller or
-    # larger one of its group is near in size, or if its group has several parts.
+        F.col("n").cast("int").alias("n"), F.col("most").cast("int").alias("most"), "set_id", F.col("parts").cast("int").alias("parts"))
+    # Copies that several tasks met go; then a row is of use only if a smaller one of its group
+    # goes up to its size, or the next larger one is near in size and within what it goes up to, or if its group has several parts.
     order = Window.partitionBy("key", "part").orderBy("n", "set_id")
     fits = lambda small, large: F.coalesce(100 * small >= PERCENT * large, F.lit(False))
     single = keyed.withColumn("again", F.coalesce(F.lag("set_id").over(order) == F.col("set_id"), F.lit(False))).where("not again")
-    near = fits(F.lag("n").over(order), F.col("n")) | fits(F.col("n"), F.lead("n").over(order)) | (F.col("parts") > 1)
+    reach = F.coalesce(F.max("most").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    above = F.lead("n").over(order)
+    near = (reach >= F.col("n")) | fits(F.col("n"), above) & (above <= F.col("most")) | (F.col("parts") > 1)
     tiles = materialise(single.drop("again").withColumn("near", near).where("near").drop("near"), "tiles")
 
     def neighbours(table: DataFrame, *group: str) -> DataFrame:
         """For each set those neighbours in size, over all groups, that it most often meets and whose bitmaps let them link."""
         order = Window.partitionBy(*group).orderBy("n", "set_id")
         before = F.array(*[
-            F.struct(F.lag("set_id", k).over(order).alias("other"), F.lag("n", k).over(order).alias("less")) for k in range(1, PARTNERS + 1)])
-        met = (table.select("set_id", "n", before.alias("before")).select("set_id", "n", F.inline("before"))
+            F.struct(F.lag("set_id", k).over(order).alias("other"), F.lag("n", k).over(order).alias("less"), F.lag("most", k).over(order).alias("up"))
+            for k in range(1, PARTNERS + 1)])
+        met = (table.select("set_id", "n", "most", before.alias("before")).select("set_id", "n", "most", F.inline("before"))
                .where(fits(F.col("less"), F.col("n")) & (F.col("set_id") != F.col("other")))
+               .where((F.col("n") <= F.col("up")) & (F.col("less") <= F.col("most")))
                .groupBy("set_id", "other").agg(F.count("*").alias("times")))
         place = F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("times"), "other"))
         chosen = met.withColumn("place", place).where(F.col("place") <= PARTNERS).select("set_id", "other")
-        one = classes.select("set_id", "n", "bits")
-        two = classes.select(F.col("set_id").alias("other"), F.col("n").alias("less"), F.col("bits").alias("fewer"))
+        chosen = materialise(chosen, "chosen")
+        asked = _of_pairs(classes.select("set_id", "n", "bits"), chosen.toDF("a", "b"))
+        one = asked.select("set_id", "n", "bits")
+        two = asked.select(F.col("set_id").alias("other"), F.col("n").alias("less"), F.col("bits").alias("fewer"))
         return (chosen.join(one, "set_id").join(two, "other")
                 .select("set_id", "other", "n", "less", "bits", "fewer").mapInArrow(_bounded, "a long, b long"))
 
@@ -365,33 +400,70 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         """Components of earlier links, known by their stars, and of further ones."""
         return components(stars.toDF("a", "b").unionByName(more))
 
-    stars = components(_verified(materialise(neighbours(tiles, "key", "part"), "pairs"), classes, rows))
+    stars = components(_verified(neighbours(tiles, "key", "part"), classes, rows))
 
-    def labelled() -> DataFrame:
-        """Tile rows with component labels, of keys that hold several."""
-        own = tiles.join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+    def labelled(tiles: DataFrame) -> DataFrame:
+        """Tile rows with component labels that may meet a row of another component.
+
+        A key has, among the rows of other labels, a smallest set and one that goes up to the largest size; without a
+        row's own label these are the extreme ones of the key, or the next of another label.  What is left out
+        now is of no use later, as components only grow.
+        """
+        own = tiles.drop("label").join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
             "label", F.coalesce("component", "set_id")).drop("component")
-        several = own.groupBy("key").agg(
-            F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo < hi").select("key", "size")
-        return materialise(own.join(several, "key"), "labelled")
+        by_label = materialise(own.groupBy("key", "label").agg(
+            F.min("n").alias("low"), F.max("most").alias("high"), F.count("*").alias("size")), "by_label")
+        ends = by_label.groupBy("key").agg(
+            F.min(F.struct("low", "label")).alias("low1"), F.max(F.struct("high", "label")).alias("high1"),
+            F.sum("size").alias("size"), F.min("label").alias("first"), F.max("label").alias("last")).where("first < last")
+        second = by_label.drop("size").join(ends, "key").groupBy("key").agg(
+            F.first("low1").alias("low1"), F.first("high1").alias("high1"), F.first("size").alias("size"),
+            F.min(F.when(F.col("label") != F.col("low1.label"), F.col("low"))).alias("low2"),
+            F.max(F.when(F.col("label") != F.col("high1.label"), F.col("high"))).alias("high2"))
+        other = lambda edge, one, two: F.when(F.col(f"{one}.label") != F.col("label"), F.col(f"{one}.{edge}")).otherwise(F.col(two))
+        meets = (other("low", "low1", "low2") <= F.col("most")) & (other("high", "high1", "high2") >= F.col("n"))
+        return materialise(own.join(second, "key").where(meets).select(
+            "key", "part", "n", "most", "set_id", "parts", "label", "size"), "labelled")
 
     # Representatives of a component in a group stand for it, whatever part they are of;
     # each sweep takes others.
+    left = labelled(tiles)
     for sweep in range(SWEEPS):
-        pick = F.min_by(F.struct("n", "set_id"), F.xxhash64("set_id", F.lit(sweep)))
-        heads = labelled().groupBy("key", "label").agg(pick.alias("head")).select("key", "head.*")
-        stars = joined(stars, _verified(materialise(neighbours(heads, "key"), "pairs"), classes, rows))
+        pick = F.min_by(F.struct("n", "set_id", "most"), F.xxhash64("set_id", F.lit(sweep)))
+        heads = left.groupBy("key", "label").agg(pick.alias("head")).select("key", "head.*")
+        stars = joined(stars, _verified(neighbours(heads, "key"), classes, rows))
+        left = labelled(left.drop("size"))
     # In full: each part against itself and against the others.
-    by_set = Window.partitionBy("set_id").orderBy("key")
-    own = labelled().join(classes.select("set_id", F.col("bits").alias("narrow"), "wide"), "set_id").withColumn(
+    # Keys in the order of their places, which is that of all sets; so what a pair meets under first lets it pass if a later key does.
+    by_set = Window.partitionBy("set_id").orderBy(F.desc("most"))
+    own = left.join(classes.select("set_id", F.col("bits").alias("narrow"), "wide"), "set_id").withColumn(
         "earlier", F.array(*[F.coalesce(F.lag("key", k).over(by_set), "key") for k in range(1, EARLIER + 1)]))
     crossed = (own.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
                .withColumn("one", F.least("part", "other")).withColumn("two", F.greatest("part", "other"))
                .withColumn("bits", F.when(F.col("size") > 2, F.col("wide")).otherwise(F.col("narrow")))
-               .select("key", "one", "two", "part", "label", "set_id", "n", "bits", "earlier")
+               .select("key", "one", "two", "part", "label", "set_id", "n", "most", "bits", "earlier")
                .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id"))
-    rest = materialise(crossed.mapInArrow(_candidates, "a long, b long").distinct(), "pairs")
-    stars = joined(stars, _verified(rest, classes, rows))
+    rest = materialise(crossed.mapInArrow(_candidates, "a long, b long").distinct(), "candidates")
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        """Pairs whose components differ by now, with those."""
+        for end in "ab":
+            label = stars.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+            pairs = pairs.join(label, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+        return pairs.where("ca <> cb")
+
+    # Components that one pair joins need none of their other pairs: each has some verified first.
+    for turn in range(ROUNDS):
+        open_ = materialise(apart(rest), "open")
+        if open_.isEmpty():
+            break
+        ends = open_.select("a", "b", F.explode(F.array("ca", "cb")).alias("c"))
+        picks = [F.min(F.struct(F.xxhash64("a", "b", F.lit(turn * PICKS + k)).alias("h"), "a", "b")).alias(f"p{k}") for k in range(PICKS)]
+        picked = ends.groupBy("c").agg(*picks).select(F.explode(F.array(*[f"p{k}" for k in range(PICKS)])).alias("p")).select("p.a", "p.b")
+        picked = materialise(picked.distinct(), "picked")
+        stars = joined(stars, _verified(picked, classes, rows))
+        rest = materialise(open_.select("a", "b").join(picked, ["a", "b"], "left_anti"), "candidates")
+    stars = joined(stars, _verified(apart(rest).select("a", "b"), classes, rows))
 
     members = classes.select("set_id", "least").join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id"))
