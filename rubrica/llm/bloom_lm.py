@@ -86,9 +86,14 @@ def quantised(n: np.ndarray) -> np.ndarray:
     return np.floor(FINENESS * np.log2(n) + 1e-9).astype(np.int64) + 1
 
 
-def estimate(level: np.ndarray) -> np.ndarray:
-    """The count in the middle of a level; 0 for level 0."""
-    return np.where(level > 0, np.maximum(1.0, np.exp2((level - 0.5) / FINENESS)), 0.0)
+def least_of(level: np.ndarray) -> np.ndarray:
+    """The smallest count of a level; 0 for level 0.  Counts up to 3 have levels of their own."""
+    return np.where(level > 0, np.ceil(np.exp2((level - 1) / FINENESS) - 1e-9), 0.0)
+
+
+def most_of(level: np.ndarray) -> np.ndarray:
+    """The largest count of a level; 0 for level 0."""
+    return np.where(level > 0, np.ceil(np.exp2(level / FINENESS) - 1e-9) - 1, 0.0)
 
 
 def positions(keys: np.ndarray, level: int, segment_bits: int):
@@ -109,14 +114,17 @@ class Filter:
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
-        live = np.arange(len(keys))
-        base = segment_of(keys, self.segments) * self.segment_bits
+        segment = segment_of(keys, self.segments)
+        # One segment after the other, each of which stays in the processor's cache meanwhile.
+        live = np.argsort(segment.astype(np.uint16) if self.segments <= 1 << 16 else segment, kind="stable")
+        base = segment * self.segment_bits
         for level in range(1, LEVELS):
-            hit = np.ones(len(live), bool)
-            for bit in positions(keys[live], level, self.segment_bits):
-                at = base[live] + bit
-                hit &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            live = live[hit]
+            h = mixed(keys[live], 2 * level + 1)
+            step = mixed(keys[live], 2 * level + 2) | np.uint64(1)
+            for probe in range(PROBES):
+                at = base[live] + (h % np.uint64(self.segment_bits)).astype(np.int64)
+                hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                live, h, step = live[hit], h[hit] + step[hit], step[hit]
             if not len(live):
                 break
             out[live] = level
@@ -213,17 +221,22 @@ def resolved(read: DataFrame, rest: DataFrame) -> DataFrame:
 
 
 class PairModel:
-    """Counts of the tokens of a batch, by their levels."""
+    """Probabilities of the tokens of a batch, by their levels; `means` are the mean counts of words by level.
+
+    The means add up to all tokens, so the word model's masses add up to 1.  The pair model
+    divides the least count of a pair's level by the largest of its history's, so the masses of all
+    pairs of a history add up to 1 at most.  No pair is more frequent than its words, so a level above theirs is a
+    false hit of the filter and lowered to it.
+    """
 
-    def __init__(self, word: np.ndarray, before: np.ndarray, joint: np.ndarray, denominator: float):
-        self.single = (estimate(word) + 0.5) / denominator
-        self.history, self.joint = estimate(before), estimate(joint)
+    def __init__(self, word: np.ndarray, before: np.ndarray, joint: np.ndarray, denominator: float, means: np.ndarray):
+        self.single = (means[word] + 0.5) / denominator
+        self.history, self.joint = most_of(before), least_of(np.minimum(joint, np.minimum(word, before)))
         self.bucket = before // (2 * FINENESS)
 
     def pair(self, less: float = 0.0) -> np.ndarray:
         """Relative frequency of each token after the one before, with `less` of each count."""
-        joint = np.maximum(self.joint - less, 0.0)
-        return joint / np.maximum(np.maximum(self.history - less, joint), 1.0)
+        return np.maximum(self.joint - less, 0.0) / np.maximum(self.history - less, 1.0)
 
 
 def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -236,7 +249,7 @@ def unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return starts[:-1], word, before, joint
 
 
-def fitted(levels: DataFrame, denominator: float, buckets: int) -> np.ndarray:
+def fitted(levels: DataFrame, denominator: float, means: np.ndarray, buckets: int) -> np.ndarray:
     """The weight of the pair model for each bucket of the count of the token before.
 
     Each learning text is scored with its own pair left out of the counts; the weight of
@@ -254,7 +267,7 @@ def fitted(levels: DataFrame, denominator: float, buckets: int) -> np.ndarray:
 
     rows = levels.mapInArrow(met, "code long, k long").groupBy("code").agg(F.sum("k").alias("k")).collect()
     code, k = (np.array([r[n] for r in rows], np.int64) for n in ("code", "k"))
-    own = PairModel(code % 128, code // 128 % 128, code // 128 ** 2, denominator)
+    own = PairModel(code % 128, code // 128 % 128, code // 128 ** 2, denominator, means)
     pair, total = own.pair(1.0), np.zeros((buckets, len(GRID)))
     for at, weight in enumerate(GRID):
         total[:, at] = np.bincount(own.bucket, k * np.log(weight * pair + (1 - weight) * own.single), buckets)
@@ -275,7 +288,7 @@ def scored(
     probability of a pair model: counts are quantised by logarithm and stored as a
     unary run of entries in a Bloom filter, which workers probe level by
     level; P(w | v) = a c(v, w) / c(v) + (1 - a) P(w), where the weight a depends on c(v) and
-    is fitted on all learning texts.  The filter has `bits`, or as many as
+    is fitted on all learning texts; it sums to 1 at most, but for false hits of the filter (see PairModel).  The filter has `bits`, or as many as
     its entries need, up to `most_bits` (or `bits`, if more); levels that do not fit are left out of it, and tokens and
     pairs not found in it are joined with the counts of those levels.  So all n-grams count at every size.
 
@@ -293,10 +306,19 @@ def scored(
         rows.where(~held_out).select("t").mapInArrow(_counted, "pair boolean, key long, n long")
         .groupBy("pair", "key").agg(F.sum("n").alias("n")).where(~F.col("pair") | (F.col("n") >= min_pair)), "grams")
     words = grams.where("not pair").select("key", "n")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    level = level_of(F.col("n"))
+    by_level = grams.groupBy("pair", level.alias("l")).agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
+    steps = {r["l"]: r["k"] for r in by_level if not r["pair"]}
+    total, distinct = sum(r["n"] for r in by_level if not r["pair"]), sum(steps.values())
     below = math.log10(total + 0.5 * (distinct + 1))
+    means = np.zeros(128)
+    for r in by_level:
+        if not r["pair"]:
+            means[r["l"]] = r["n"] / r["k"]
     # The lowest level from which on all n-grams fit the filter, and its bits.
-    sizes = {r["l"]: r["k"] for r in grams.groupBy(level_of(F.col("n")).alias("l")).agg(F.count("*").alias("k")).collect()}
+    sizes = {}
+    for r in by_level:
+        sizes[r["l"]] = sizes.get(r["l"], 0) + r["k"]
     entries, lowest = 0, max(sizes, default=0) + 1
     for step in sorted(sizes, reverse=True):
         if entries + sizes[step] * step > max(bits, most_bits) * LOAD:
@@ -306,8 +328,7 @@ def scored(
     kept = level_of(F.col("n")) >= lowest
     shared = spark.sparkContext.broadcast(build(grams.where(kept), bits, segment_bits))
     # The commonest words, down to the lowest level that leaves no more than `frequent`.
-    level = level_of(F.col("n"))
-    steps, have = {r["l"]: r["k"] for r in words.groupBy(level.alias("l")).agg(F.count("*").alias("k")).collect()}, 0
+    have = 0
     least = max(steps, default=0) + 1
     for step in sorted(steps, reverse=True):
         have += steps[step]
@@ -352,12 +373,12 @@ def scored(
     full = first.drop("tail")
     if lowest > 1:
         full = resolved(full, grams.where(~kept).select("key", level_of(F.col("n")).alias("level")))
-    weights = fitted(full.where(~F.col("held_out")).select("word", "joint"), denominator, LEVELS // (2 * FINENESS) + 1)
+    weights = fitted(full.where(~F.col("held_out")).select("word", "joint"), denominator, means, LEVELS // (2 * FINENESS) + 1)
 
     def marked(batches):
         for batch in batches:
             starts, word, before, joint = unpacked(batch)
-            own = PairModel(word, before, joint, denominator)
+            own = PairModel(word, before, joint, denominator, means)
             weight = weights[own.bucket]
             score = np.add.reduceat(np.log10(weight * own.pair() + (1 - weight) * own.single), starts)
             names = ["i", "held_out", "n_tokens", "sure", "base", "row"]

@@ -248,12 +248,30 @@ def exact_scores(rows, fold=1):
     one = collections.Counter(w for i, ws in words if learned(i) for w in ws)
     two = collections.Counter(p for (i, ws), vs in zip(words, befores) if learned(i) for p in zip(vs, ws))
     level = lambda n: 1 + math.floor(bloom_lm.FINENESS * math.log2(n) + 1e-9) if n else 0
-    count = lambda n: max(1.0, 2 ** ((level(n) - 0.5) / bloom_lm.FINENESS)) if n else 0.0
+    # Counts of one level are not told apart: of pairs the least of them stands for all, of histories the largest, of words their mean.
+    alike = collections.defaultdict(list)
+    for n in range(1, 1 << 17):
+        alike[level(n)].append(n)
+    held = collections.defaultdict(list)
+    for n in one.values():
+        held[level(n)].append(n)
+    mean = {k: sum(v) / len(v) for k, v in held.items()}
     denominator = sum(one.values()) + 0.5 * (len(one) + 1)
 
     def mass(v, w, less, a):
-        joint, history = max(count(two[v, w]) - less, 0.0), count(one[v]) - less
-        return a * joint / max(history, joint, 1.0) + (1 - a) * (count(one[w]) + 0.5) / denominator
+        joint = alike[level(two[v, w])][0] if two[v, w] else 0
+        history = alike[level(one[v])][-1] if one[v] else 0
+        single = mean[level(one[w])] if one[w] else 0
+        return a * max(joint - less, 0) / max(history - less, 1) + (1 - a) * (single + 0.5) / denominator
+
+    # What may follow a word, and any unknown word, has a mass of 1 at most, whatever the weight.
+    follows = collections.defaultdict(set)
+    for v, w in two:
+        follows[v].add(w)
+    for v in [*follows, "unknown"]:
+        for a in bloom_lm.GRID:
+            rest = (1 - a) * (sum(mean[level(n)] + 0.5 for w, n in one.items() if w not in follows[v]) + 0.5) / denominator
+            assert sum(mass(v, w, 0.0, a) for w in follows[v]) + rest <= 1 + 1e-9
 
     bucket = lambda v: level(one[v]) // (2 * bloom_lm.FINENESS)
     sums = collections.defaultdict(lambda: [0.0] * len(bloom_lm.GRID))
