@@ -3,6 +3,7 @@
 from .plans.enrich import enrich
 from .plans.legacy import legacy_long
 from .plans.net import net_extract, process_extracts
+from .plans.publish import publish
 from .schema import METRICS, PRODUCTION, Rules
 from .sources.dimensions import Dimensions, load_dimensions, unit_codes
 from .sources.extracts import read_extracts, type_extract
@@ -10,6 +11,6 @@ from .sources.sinks import write_csv, write_parquet
 
 __all__ = [
     "METRICS", "PRODUCTION", "Dimensions", "Rules", "enrich", "legacy_long", "load_dimensions",
-    "net_extract", "process_extracts", "read_extracts", "type_extract", "unit_codes",
+    "net_extract", "process_extracts", "publish", "read_extracts", "type_extract", "unit_codes",
     "write_csv", "write_parquet",
 ]
