@@ -19,9 +19,8 @@ WORDS, PERCENT = 5, 75
 FREQUENT, REPORTED, CHUNK = 1 << 16, 3, 1 << 22
 #: How much wider the bitmaps are that compare groups of more than two, and all candidates.
 WIDER = 4
-#: Neighbours that a set is tried with at first, sweeps over representatives, and rounds in which
-#: each component has PICKS of its candidates verified before the rest is (speed alone).
-PARTNERS, SWEEPS, ROUNDS, PICKS = 3, 1, 2, 4
+#: Sets that a set is tried with before all others: neighbours, then heads of groups (speed alone).
+PARTNERS = 3
 #: Sets that a worker knows it has seen (speed alone: later steps drop copies anyway).
 SEEN = 1 << 15
 #: Ids that are sent to every executor, 8 bytes each; more are joined by shuffle.
@@ -317,7 +316,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     from above by a bit count; what is left is intersected exactly.  No link is lost.
 
     So that groups of near copies cost no pair each, neighbours in size are tried first,
-    then representatives of the components found, and only rows of different components
+    then each set with the heads of its groups, and only rows of different components
     are compared in full.  Groups of frequent shingles are cut into parts of about TILE
     rows, and pairs of parts are tiles.
 
@@ -377,30 +376,33 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = (reach >= F.col("n")) | fits(F.col("n"), above) & (above <= F.col("most")) | (F.col("parts") > 1)
     tiles = materialise(single.drop("again").withColumn("near", near).where("near").drop("near"), "tiles")
 
-    def neighbours(table: DataFrame, *group: str) -> DataFrame:
-        """For each set those neighbours in size, over all groups, that it most often meets and whose bitmaps let them link."""
-        order = Window.partitionBy(*group).orderBy("n", "set_id")
-        before = F.array(*[
-            F.struct(F.lag("set_id", k).over(order).alias("other"), F.lag("n", k).over(order).alias("less"), F.lag("most", k).over(order).alias("up"))
-            for k in range(1, PARTNERS + 1)])
-        met = (table.select("set_id", "n", "most", before.alias("before")).select("set_id", "n", "most", F.inline("before"))
-               .where(fits(F.col("less"), F.col("n")) & (F.col("set_id") != F.col("other")))
-               .where((F.col("n") <= F.col("up")) & (F.col("less") <= F.col("most")))
-               .groupBy("set_id", "other").agg(F.count("*").alias("times")))
+    def bounded(met: DataFrame) -> DataFrame:
+        """Of the sets (other) that each set has met, those met most often whose bitmaps let them link."""
         place = F.row_number().over(Window.partitionBy("set_id").orderBy(F.desc("times"), "other"))
-        chosen = met.withColumn("place", place).where(F.col("place") <= PARTNERS).select("set_id", "other")
-        chosen = materialise(chosen, "chosen")
+        chosen = materialise(met.withColumn("place", place).where(F.col("place") <= PARTNERS).select("set_id", "other"), "chosen")
         asked = _of_pairs(classes.select("set_id", "n", "bits"), chosen.toDF("a", "b"))
-        one = asked.select("set_id", "n", "bits")
         two = asked.select(F.col("set_id").alias("other"), F.col("n").alias("less"), F.col("bits").alias("fewer"))
-        return (chosen.join(one, "set_id").join(two, "other")
-                .select("set_id", "other", "n", "less", "bits", "fewer").mapInArrow(_bounded, "a long, b long"))
+        both = chosen.join(asked, "set_id").join(two, "other")
+        ordered = F.col("less") <= F.col("n")
+        columns = [F.when(ordered, F.col(x)).otherwise(F.col(y)).alias(name) for name, x, y in (
+            ("set_id", "set_id", "other"), ("other", "other", "set_id"), ("n", "n", "less"), ("less", "less", "n"),
+            ("bits", "bits", "fewer"), ("fewer", "fewer", "bits"))]
+        return both.select(*columns).mapInArrow(_bounded, "a long, b long")
+
+    # Neighbours in size, over all groups.
+    before = F.array(*[
+        F.struct(F.lag("set_id", k).over(order).alias("other"), F.lag("n", k).over(order).alias("less"), F.lag("most", k).over(order).alias("up"))
+        for k in range(1, PARTNERS + 1)])
+    beside = (tiles.select("set_id", "n", "most", before.alias("before")).select("set_id", "n", "most", F.inline("before"))
+            .where(fits(F.col("less"), F.col("n")) & (F.col("set_id") != F.col("other")))
+            .where((F.col("n") <= F.col("up")) & (F.col("less") <= F.col("most")))
+            .groupBy("set_id", "other").agg(F.count("*").alias("times")))
 
     def joined(stars: DataFrame, more: DataFrame) -> DataFrame:
         """Components of earlier links, known by their stars, and of further ones."""
         return components(stars.toDF("a", "b").unionByName(more))
 
-    stars = components(_verified(neighbours(tiles, "key", "part"), classes, rows))
+    stars = components(_verified(bounded(beside), classes, rows))
 
     def labelled(tiles: DataFrame) -> DataFrame:
         """Tile rows with component labels that may meet a row of another component.
@@ -425,14 +427,17 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return materialise(own.join(second, "key").where(meets).select(
             "key", "part", "n", "most", "set_id", "parts", "label", "size"), "labelled")
 
-    # Representatives of a component in a group stand for it, whatever part they are of;
-    # each sweep takes others.
+    # The head of a group is the set of most rows.  Near copies of one text each lack some of its keys, so
+    # that text, if it is there, is the head of most of their groups, and links most of them.
     left = labelled(tiles)
-    for sweep in range(SWEEPS):
-        pick = F.min_by(F.struct("n", "set_id", "most"), F.xxhash64("set_id", F.lit(sweep)))
-        heads = left.groupBy("key", "label").agg(pick.alias("head")).select("key", "head.*")
-        stars = joined(stars, _verified(neighbours(heads, "key"), classes, rows))
-        left = labelled(left.drop("size"))
+    weight = left.groupBy("set_id").agg(F.count("*").alias("weight"))
+    weighed = left.join(weight, "set_id")
+    head = weighed.groupBy("key").agg(F.max(F.struct("weight", "set_id", "n", "most", "label")).alias("h"))
+    tried = (weighed.join(head, "key").where(F.col("label") != F.col("h.label"))
+             .where(fits(F.least("n", "h.n"), F.greatest("n", "h.n")) & (F.col("n") <= F.col("h.most")) & (F.col("h.n") <= F.col("most")))
+             .groupBy("set_id", F.col("h.set_id").alias("other")).agg(F.count("*").alias("times")))
+    stars = joined(stars, _verified(bounded(tried), classes, rows))
+    left = labelled(left.drop("size"))
     # In full: each part against itself and against the others.
     # Keys in the order of their places, which is that of all sets; so what a pair meets under first lets it pass if a later key does.
     by_set = Window.partitionBy("set_id").orderBy(F.desc("most"))
@@ -445,25 +450,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                .repartition("key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "set_id"))
     rest = materialise(crossed.mapInArrow(_candidates, "a long, b long").distinct(), "candidates")
 
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose components differ by now, with those."""
-        for end in "ab":
-            label = stars.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
-            pairs = pairs.join(label, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-        return pairs.where("ca <> cb")
-
-    # Components that one pair joins need none of their other pairs: each has some verified first.
-    for turn in range(ROUNDS):
-        open_ = materialise(apart(rest), "open")
-        if open_.isEmpty():
-            break
-        ends = open_.select("a", "b", F.explode(F.array("ca", "cb")).alias("c"))
-        picks = [F.min(F.struct(F.xxhash64("a", "b", F.lit(turn * PICKS + k)).alias("h"), "a", "b")).alias(f"p{k}") for k in range(PICKS)]
-        picked = ends.groupBy("c").agg(*picks).select(F.explode(F.array(*[f"p{k}" for k in range(PICKS)])).alias("p")).select("p.a", "p.b")
-        picked = materialise(picked.distinct(), "picked")
-        stars = joined(stars, _verified(picked, classes, rows))
-        rest = materialise(open_.select("a", "b").join(picked, ["a", "b"], "left_anti"), "candidates")
-    stars = joined(stars, _verified(apart(rest).select("a", "b"), classes, rows))
+    stars = joined(stars, _verified(rest, classes, rows))
 
     members = classes.select("set_id", "least").join(stars.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
         "component", F.coalesce("component", "set_id"))
