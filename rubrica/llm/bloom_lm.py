@@ -109,6 +109,8 @@ class Filter:
     """Levels of keys, read by membership probes: level l is there if all levels below are."""
 
     def __init__(self, bits: np.ndarray, segment_bits: int):
+        if segment_bits & (segment_bits - 1):
+            raise ValueError("a segment has a power of two of bits")
         self.bits, self.segment_bits = bits, segment_bits
         self.segments = len(bits) * 8 // segment_bits
 
@@ -117,19 +119,27 @@ class Filter:
         segment = segment_of(keys, self.segments)
         # One segment after the other, each of which stays in the processor's cache meanwhile.
         live = np.argsort(segment.astype(np.uint16) if self.segments <= 1 << 16 else segment, kind="stable")
-        base = segment * self.segment_bits
+        key, base = keys[live], segment[live] * self.segment_bits
         for level in range(1, LEVELS):
-            h = mixed(keys[live], 2 * level + 1)
-            step = mixed(keys[live], 2 * level + 2) | np.uint64(1)
-            for probe in range(PROBES):
-                at = base[live] + (h % np.uint64(self.segment_bits)).astype(np.int64)
-                hit = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                live, h, step = live[hit], h[hit] + step[hit], step[hit]
+            h, step = mixed(key, 2 * level + 1), mixed(key, 2 * level + 2) | np.uint64(1)
+            # Most keys that are not there end at the first probe; the rest takes the others.
+            left = np.flatnonzero(self._set(base, h))
+            h, step, at = h[left], step[left], base[left]
+            there = np.ones(len(left), bool)
+            for _ in range(PROBES - 1):
+                h = h + step
+                there &= self._set(at, h)
+            left = left[there]
+            live, key, base = live[left], key[left], base[left]
             if not len(live):
                 break
             out[live] = level
         return out
 
+    def _set(self, base: np.ndarray, h: np.ndarray) -> np.ndarray:
+        at = base + (h & np.uint64(self.segment_bits - 1)).astype(np.int64)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
 
 def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
     return (keys % np.uint64(segments)).astype(np.int64)
