@@ -27,8 +27,8 @@ SEEN = 1 << 15
 BROADCAST_IDS = 1 << 17
 #: Earlier keys of a set that a tile row carries, by which pairs met before are told (speed alone).
 EARLIER = 8
-#: Bits of the filter that finds the texts of candidates, and of its segments.
-WANTED_BITS, WANTED_SEGMENT = 1 << 26, 1 << 18
+#: Bits of the filter that finds the texts of candidates at most, for each of them, and of its segments (speed alone).
+WANTED_BITS, WANTED_EACH, WANTED_SEGMENT = 1 << 26, 32, 1 << 18
 #: Rows of a shingle's group in one tile, and rows of small tiles that are compared at once.
 TILE, CANDIDATE_ROWS = 4_096, 1 << 14
 
@@ -259,7 +259,7 @@ def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> Dat
     """The pairs (a, b) of sets that link: wide bitmaps first, then exact intersection of sorted arrays.
 
     Sets of the candidates alone are made again, from one text each.  A Bloom filter of
-    fixed size over their ids spares the other texts, so that no text is shuffled; what
+    bounded size over their ids spares the other texts, so that no text is shuffled; what
     passes by chance goes in the exact join.
     """
     candidates = materialise(candidates, "pairs")
@@ -277,7 +277,8 @@ def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> Dat
         candidates.join(one, "a").join(two, "b").select(*columns).mapInArrow(_bounded, "a long, b long"), "bounded")
     wanted = materialise(_ends(candidates), "wanted")
     ids = asked.join(wanted, "set_id").select(F.xxhash64("least").alias("key"), F.lit(1).alias("n"))
-    passing = rows.sparkSession.sparkContext.broadcast(build(ids, WANTED_BITS, WANTED_SEGMENT))
+    segments = -(-min(WANTED_BITS, WANTED_EACH * wanted.count()) // WANTED_SEGMENT)
+    passing = rows.sparkSession.sparkContext.broadcast(build(ids, max(1, segments) * WANTED_SEGMENT, WANTED_SEGMENT))
 
     def sets(batches):
         words, known = WordHashes(), Filter(passing.value, WANTED_SEGMENT)
