@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.hierarchy import prepare_extract
 from ..operators.joins import Lookup
 from ..schema import METRICS, PRODUCTION, SOURCE_FILE, Rules
-from .net import CHOICE, _combine, _with_totals, candidates, choice_key
+from .net import CHOICE, _combine, _with_totals, candidates, placed_key
 
 #: The parts of a raw total; with NULL as 0 they add up to it.
 PARTS = ("net_total", "children", "siblings", "finer", "unlisted")
@@ -30,7 +30,7 @@ def reconcile_net(
     rows = prepare_extract(typed, units, rules)
     found = candidates(_with_totals(_combine(rows, rules, metrics, []), rules, metrics), rules, metrics)
     listed = F.col("__priority").isNotNull()
-    first = F.row_number().over(Window.partitionBy(*choice_key(rules)).orderBy(F.asc_nulls_last(CHOICE[0]), *CHOICE[1:])) == 1
+    first = F.row_number().over(Window.partitionBy(*placed_key(rules)).orderBy(F.asc_nulls_last(CHOICE[0]), *CHOICE[1:])) == 1
     found = found.withColumns({"__listed": listed, "__kept": listed & first})
 
     zero = lambda c: F.coalesce(c, F.lit(0))

@@ -229,3 +229,18 @@ def test_joins_of_a_hot_group_are_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def two_metrics(spark):
+    return typed(spark, [line(0, "110000", 100), line(1, "111101", 30)]).withColumn("outra", F.col(METRIC))
+
+
+def test_windows_carry_one_total_per_metric(spark):
+    """Of a row's two-, three- and four-digit group only one is taken off it, so one total goes on."""
+    text = plan(net_extract(two_metrics(spark), units(spark), S.PRODUCTION, [METRIC, "outra"]))
+    assert not any(f"__less{k}_" in text for k in (2, 3, 4)) and "__less_outra" in text
+
+
+def test_the_sort_of_the_windows_begins_with_a_hash(spark):
+    text = plan(net_extract(two_metrics(spark), units(spark), S.PRODUCTION, [METRIC, "outra"]))
+    assert "Sort [__hash" in text
