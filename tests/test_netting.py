@@ -241,6 +241,13 @@ def test_windows_carry_one_total_per_metric(spark):
     assert not any(f"__less{k}_" in text for k in (2, 3, 4)) and "__less_outra" in text
 
 
+def test_rows_of_all_levels_meet_one_total_per_metric(spark):
+    steps = H.prioritise(H.union_levels(H.prepare_extract(two_metrics(spark), units(spark)), metrics=[METRIC, "outra"]))
+    text = plan(steps)
+    assert not any(f"__less{k}_" in text for k in (2, 3, 4)) and "__less_outra" in text
+    assert {(r.ced, r[METRIC], r.outra) for r in steps.collect()} == {("110000", 70, 70), ("111101", 30, 30)}
+
+
 def test_the_sort_of_the_windows_begins_with_a_hash(spark):
     text = plan(net_extract(two_metrics(spark), units(spark), S.PRODUCTION, [METRIC, "outra"]))
     assert "Sort [__hash" in text
