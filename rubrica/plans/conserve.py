@@ -9,9 +9,13 @@ siblings are never merged.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.groups import HASH, group_hash
 from ..operators.hierarchy import less
 from ..schema import CLASSIFIER, METRICS, SOURCE_FILE, UNIT_KEY
 
@@ -44,26 +48,27 @@ def net_conserving(rows: DataFrame, metrics=METRICS) -> DataFrame:
     df = combined.withColumn("__stem", stem()).withColumn("__length", F.length("__stem"))
     df = df.withColumns({f"__s{k}": F.substring("__stem", 1, k) for k in lengths})
     group = lambda k: [*key, *[f"__s{i}" for i in range(SHORTEST, k + 1)]]
-    df = df.repartition(*group(SHORTEST)).sortWithinPartitions(*group(WHOLE - 1), CLASSIFIER)
+    # Names begin alike, so a hash leads the sort and nearly always decides it.
+    df = df.repartition(*group(SHORTEST)).withColumn(HASH, group_hash(group(SHORTEST)))
+    df = df.sortWithinPartitions(HASH, *group(WHOLE - 1), CLASSIFIER)
+    over = {k: Window.partitionBy(HASH, *group(k)) for k in lengths}
 
     # The row that owns each prefix of a stem, if there is one; of "11" and "110000" only one does.
-    owner = {
-        f"__o{k}": F.max(F.when(F.col("__length") == k, F.col(CLASSIFIER))).over(Window.partitionBy(*group(k)))
-        for k in lengths
-    }
+    owner = {f"__o{k}": F.max(F.when(F.col("__length") == k, F.col(CLASSIFIER))).over(over[k]) for k in lengths}
     df = df.withColumns(owner)
     above = [F.when(F.col("__length") > k, F.col(f"__o{k}")) for k in reversed(lengths)]
-    df = df.withColumn("parent", F.coalesce(*above))
-    # What a row loses is what names it as parent; those rows are in its own prefix group.
-    taken = {}
-    for m in metrics:
-        total = F.lit(None)
-        for k in lengths:
-            over = Window.partitionBy(*group(k))
-            child = (F.col("__length") > k) & (F.col("parent") == F.col(f"__o{k}"))
-            owns = F.col(CLASSIFIER) == F.col(f"__o{k}")
-            total = F.when(owns, F.sum(F.when(child, F.col(m))).over(over)).otherwise(total)
-        taken[f"__less_{m}"] = total
-    df = df.withColumns(taken)
+    up = [F.when((F.col("__length") > k) & F.col(f"__o{k}").isNotNull(), k) for k in reversed(lengths)]
+    owns = reduce(or_, [(F.col("__length") == k) & (F.col(CLASSIFIER) == F.col(f"__o{k}")) for k in lengths])
+    df = df.withColumns({"parent": F.coalesce(*above), "__up": F.coalesce(*up), "__owns": owns})
+    df = df.drop(*owner)
+    # What a row loses is what names it as parent; those rows are in its own prefix group, and a row owns one
+    # prefix at most, so one total per metric is carried on.
+    off = {m: F.lit(None) for m in metrics}
+    for k in lengths:
+        df = df.withColumns({f"__below_{m}": F.sum(F.when(F.col("__up") == k, F.col(m))).over(over[k]) for m in metrics})
+        mine = F.col("__owns") & (F.col("__length") == k)
+        df = df.withColumns({f"__less_{m}": F.when(mine, F.col(f"__below_{m}")).otherwise(off[m]) for m in metrics})
+        df = df.drop(*[f"__below_{m}" for m in metrics])
+        off = {m: F.col(f"__less_{m}") for m in metrics}
     net = {m: F.when(F.col(f"__less_{m}").isNotNull(), less(F.coalesce(m, F.lit(0)), f"__less_{m}")).otherwise(F.col(m)) for m in metrics}
     return df.withColumns(net).select(*key, CLASSIFIER, "parent", "n_rows", *metrics)

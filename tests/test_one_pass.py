@@ -109,6 +109,15 @@ def test_a_hot_unit_sends_its_classifiers_alone(spark):
     assert hot.count() == 40 and hot.agg(F.sum("n_rows")).first()[0] == n - (n + 2) // 3
 
 
+def test_conserving_windows_sort_by_a_hash_and_carry_one_total_per_metric(spark):
+    out = net_conserving(typed(spark, [line(0, "110000", 100), line(1, "111101", 30)]), [METRIC])
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [__hash" in text
+    # A sum for each of the four prefix lengths, dropped as soon as the row's own is picked.
+    assert text.count(f"AS __below_{METRIC}#") == 4 and f"AS __less_{METRIC}#" in text
+    assert {(r.ced, r.parent, r[METRIC]) for r in out.collect()} == {("110000", None, 70.0), ("111101", "110000", 30.0)}
+
+
 # -- where amounts go -------------------------------------------------------------------
 
 
