@@ -453,7 +453,8 @@ def multi_row_groups(spark, d):
 
 @query
 def legacy_adjust(spark, d):
-    return L.legacy_adjust(L.legacy_base(A.typed_extract(spark, d), _units(spark, d))).select(*_BASE, "part")
+    found = L.legacy_adjusted(A.typed_extract(spark, d), _units(spark, d))
+    return found.withColumnsRenamed({f"__m{i}": m for i, m in enumerate(S.BUDGET_METRICS)}).select(*_BASE, "part")
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import all_zero, ced_prefix, drop_all_zero, prefix_group, unit_id, with_group_columns
 from ..functions.metadata import with_file_metadata
 from ..operators.columns import matching, unpivot
-from ..operators.groups import keep_first
+from ..operators.groups import HASH, group_hash, keep_first
 from ..operators.hierarchy import less
 from ..operators.joins import Lookup, filter_valid, lookup, null_safe_join
 from ..schema import (
@@ -78,7 +78,12 @@ def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS, also=()) -> DataFrame
         **{f"__s3_{m}": F.sum(f"__p3_{m}").over(w3) for m in metrics},
     }).drop("__n4", *[f"__p3_{m}" for m in metrics])
     rows = null_safe_join(base, stats, g4)
+    return _net_parts(rows, metrics).select(*base.columns, "part")
 
+
+def _net_parts(rows: DataFrame, metrics) -> DataFrame:
+    """Rows with the sums and marks of their groups -> one line for each part that holds the row."""
+    ced = F.col(CLASSIFIER)
     in4, in3 = F.col("__in4"), F.col("__in3")
     named = lambda *names: F.array(*map(F.lit, names))
     parts = (
@@ -92,7 +97,7 @@ def legacy_adjust(base: DataFrame, metrics=BUDGET_METRICS, also=()) -> DataFrame
         m: F.when(four, less(m, f"__s4_{m}")).when(three, less(m, f"__s3_{m}")).otherwise(F.col(m))
         for m in metrics
     }
-    return out.withColumns(net).select(*base.columns, "part")
+    return out.withColumns(net)
 
 
 def legacy_block(
@@ -113,23 +118,88 @@ def legacy_block(
 BLOCKS = (BUDGET_METRICS, EXPENSE_METRICS)
 
 
-def legacy_long(typed: DataFrame, units: DataFrame | Lookup, drop_helper: bool = False) -> DataFrame:
-    """Budget and expense block of all files, one below the other: ``legacy_block`` of both in one pass.
+#: A group is hot if its rows and those of all groups that share its bucket are more than this, and than HOT_SHARE mean buckets.
+HOT_ROWS, HOT_SHARE, BUCKETS = 1 << 20, 8, 1 << 16
+
+
+def has_hot_group(typed: DataFrame, most: int = HOT_ROWS) -> bool:
+    """Whether the rows of some unit and three digits of a report may be too many for one window.
 
-    A row is split into its blocks first, whose metrics share columns; dedup and netting then
-    go by block.
+    Counts all rows by buckets of such groups, combined in each task, so a bucket is never smaller than its largest group.
     """
-    width = max(map(len, BLOCKS))
-    shared = [f"__m{i}" for i in range(width)]
-    block_of = lambda i, block: F.when(~all_zero(block), F.struct(
-        F.lit(i).alias("__block"),
-        *[(F.col(block[k]) if k < len(block) else F.lit(None).cast(kind)).alias(m) for k, m in enumerate(shared)]))
-    kind = typed.schema[BUDGET_METRICS[0]].dataType
-    rows = filter_valid(typed.withColumn("ugb_id", unit_id()), units)
-    rows = rows.withColumn("__x", F.explode(F.array_compact(F.array(*[block_of(i, b) for i, b in enumerate(BLOCKS)]))))
-    rows = rows.select(SOURCE_FILE, ROW_ORDER, "ugb_id", *UNIT_KEY, CLASSIFIER, "__x.*")
-    base = with_group_columns(dedup_by_amount(rows, shared[0], ["__block"]), PRODUCTION)
-    slim = legacy_adjust(base, shared, ["__block"]).select(
+    bucket = F.pmod(F.xxhash64(SOURCE_FILE, "ugb", ced_prefix(3)), F.lit(BUCKETS))
+    per_bucket = typed.filter(F.col(CLASSIFIER).isNotNull()).groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("n"))
+    largest, n = per_bucket.agg(F.max("n"), F.sum("n")).first()
+    return (largest or 0) > max(most, HOT_SHARE * (n or 0) / BUCKETS)
+
+
+def _shared(blocks) -> list[str]:
+    return [f"__m{i}" for i in range(max(map(len, blocks)))]
+
+
+def _by_block(rows: DataFrame, blocks, keep) -> DataFrame:
+    """A row for each block of which ``keep(i)`` holds; the metrics of the blocks share columns."""
+    cell = lambda block, k: F.col(block[k]) if k < len(block) else F.lit(None).cast(rows.schema[block[0]].dataType)
+    held = [
+        F.struct(F.lit(i).alias("__block"), F.coalesce(keep(i), F.lit(False)).alias("__keep"),
+                 *[cell(block, k).alias(m) for k, m in enumerate(_shared(blocks))])
+        for i, block in enumerate(blocks)
+    ]
+    metrics = {m for block in blocks for m in block}
+    out = rows.select(*[c for c in rows.columns if c not in metrics], F.inline(F.array(*held)))
+    return out.filter("__keep").drop("__keep")
+
+
+def legacy_adjusted(typed: DataFrame, units: DataFrame | Lookup, blocks=(BUDGET_METRICS,), most: int = HOT_ROWS) -> DataFrame:
+    """``legacy_adjust`` of ``legacy_base`` of each block, whose metrics share the columns ``__m0``, ``__m1``, ...
+
+    Rows move once, whole, to the task of their unit key and three digits; dedup and totals are windows there. The rows
+    with a missing key, of which one per report and block is kept, are combined in each task instead, whatever their
+    number. With a hot group the rows meet their totals in a join, whose hot groups AQE splits.
+    """
+    shared, also = _shared(blocks), ["__block"]
+    metrics = [m for block in blocks for m in block]
+    rows = filter_valid(typed.withColumn("ugb_id", unit_id()), units).select(
+        SOURCE_FILE, ROW_ORDER, "ugb_id", *UNIT_KEY, CLASSIFIER, *metrics)
+    listed = lambda i: ~all_zero(blocks[i])
+    if has_hot_group(typed, most):
+        base = dedup_by_amount(_by_block(rows, blocks, listed), shared[0], also)
+        return legacy_adjust(with_group_columns(base, PRODUCTION), shared, also)
+
+    has_unit = reduce(and_, [F.col(c).isNotNull() for c in UNIT_KEY])
+    whole = lambda i: has_unit & F.col(blocks[i][0]).isNotNull()
+    missing = _by_block(rows.filter(~reduce(and_, map(whole, range(len(blocks))))), blocks, lambda i: listed(i) & ~whole(i))
+    firsts = dedup_by_amount(missing, shared[0], also)
+    own = [F.when(F.col("__block") == i, F.col(shared[k])).alias(m) for i, block in enumerate(blocks) for k, m in enumerate(block)]
+    firsts = firsts.select(*[c for c in rows.columns if c not in metrics], *own, F.lit(True).alias("__first"))
+
+    g3 = prefix_group(3)
+    placed = with_group_columns(rows.filter(has_unit).withColumn("__first", F.lit(False)).unionByName(firsts), PRODUCTION)
+    placed = placed.drop("_c5").repartition(*g3).withColumn(HASH, group_hash(g3))
+    split = _by_block(placed, blocks, lambda i: listed(i) & (F.col("__first") | F.col(blocks[i][0]).isNotNull()))
+    # Ties are broken by the rest of the row, as in keep_first.
+    order = (ROW_ORDER, "ugb_id", *UNIT_KEY, CLASSIFIER, *shared)
+    key = [HASH, *g3, *also]
+    first = F.row_number().over(Window.partitionBy(*key, shared[0]).orderBy(*order))
+    base = split.withColumn("__nth", first).filter("__nth = 1").drop("__nth")
+
+    ced = F.col(CLASSIFIER)
+    w4, w3 = Window.partitionBy(*key, "_c4"), Window.partitionBy(*key)
+    stats = base.withColumns({
+        "__n4": F.count("*").over(w4),
+        **{f"__s4_{m}": F.sum(F.when(~ced.endswith("000"), F.col(m))).over(w4) for m in shared},
+    }).withColumns({
+        "__in4": F.col("__n4") > 1,
+        "__in3": (F.count("*").over(w3) > 1) & F.max(F.col("__n4") == 1).over(w3),
+        **{f"__s3_{m}": F.sum(F.when(~ced.endswith("00"), F.col(m))).over(w3) for m in shared},
+    })
+    return _net_parts(stats, shared).select(SOURCE_FILE, ROW_ORDER, "ugb_id", *UNIT_KEY, CLASSIFIER, *also, *shared, "part")
+
+
+def legacy_long(typed: DataFrame, units: DataFrame | Lookup, drop_helper: bool = False) -> DataFrame:
+    """Budget and expense block of all files, one below the other: ``legacy_block`` of both in one pass."""
+    shared = _shared(BLOCKS)
+    slim = legacy_adjusted(typed, units, BLOCKS).select(
         SOURCE_FILE, "ugb_id", "funcao", "programa", "fr", "ced", "__block", *shared)
     # Metadata before the unpivot: it is worked out once per row, not once per metric.
     slim = with_file_metadata(slim, SOURCE_FILE)

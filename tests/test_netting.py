@@ -1,5 +1,6 @@
 """Netting: worked examples, a random comparison with a plain model, and the plans."""
 
+import collections
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rubrica import schema as S
 from rubrica.operators import hierarchy as H
+from rubrica.plans import legacy as L
 from rubrica.plans.net import net_extract
 
 from .model import net as model_net
@@ -251,3 +253,29 @@ def test_rows_of_all_levels_meet_one_total_per_metric(spark):
 def test_the_sort_of_the_windows_begins_with_a_hash(spark):
     text = plan(net_extract(two_metrics(spark), units(spark), S.PRODUCTION, [METRIC, "outra"]))
     assert "Sort [__hash" in text
+
+
+# -- the earlier pipeline ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("most", [L.HOT_ROWS, 0])
+def test_legacy_rows_move_once_and_agree_with_the_single_steps(spark, most):
+    rng = random.Random(11)
+    rows = []
+    for i in range(30):
+        rows += [dict(r, file=f"{i}{r['file']}") for r in random_rows(rng)]
+    df = typed(spark, rows)
+    out = L.legacy_adjusted(df, units(spark), ((METRIC,),), most).withColumnRenamed("__m0", METRIC)
+    steps = L.legacy_adjust(L.legacy_base(df, units(spark), [METRIC]), [METRIC])
+    shown = lambda x: collections.Counter(map(tuple, x.select(S.SOURCE_FILE, S.ROW_ORDER, *S.UNIT_KEY, "ced", METRIC, "part").collect()))
+    assert shown(out) == shown(steps) and sum(shown(out).values()) > 100
+    assert L.has_hot_group(df, most) == (most == 0)
+
+
+def test_the_long_table_has_no_join_of_rows_with_totals(spark):
+    metrics = {m: F.col(METRIC) for m in S.METRICS}
+    df = typed(spark, [line(0, "111000", 5), line(1, "111100", 3), line(2, "111101", 1)]).withColumns(metrics)
+    out = L.legacy_long(df, units(spark))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "__s4_" in text and text.count("Join") == text.count("LeftSemi")
+    assert out.count() > 0
