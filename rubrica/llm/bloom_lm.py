@@ -7,10 +7,11 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, as_long, batches_of, materialise, mixed, remainder, texts
+from .common import as_long, batches_of, materialise, mixed, portions, remainder, word_hashes
 
 #: Bits of the filter at least, of its segments, probes per entry, and entries per bit at most.
 BITS, SEGMENT_BITS, PROBES, LOAD = 1 << 28, 1 << 18, 4, 0.15
@@ -35,24 +36,27 @@ LEVELS = 48 * FINENESS
 OPEN = pa.list_(pa.struct([("place", pa.int64()), ("key", pa.int64())]))
 
 
-def pairs_of(hashes: np.ndarray) -> np.ndarray:
-    """Keys of neighbouring tokens."""
-    return mixed(mixed(hashes[:-1], 1) + hashes[1:], 2)
+def pairs_of(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Keys of tokens and of those before them."""
+    return mixed(mixed(before, 1) + tokens, 2)
 
 
 class Tokens:
     """Token hashes of texts: words with A-Z in lower case, then the end."""
 
-    def __init__(self):
-        self.words = WordHashes()
+    begin, end = (np.uint64(xxhash.xxh3_64_intdigest(v)) for v in (BEGIN, END))
 
-    def of(self, text: bytes) -> np.ndarray:
-        return self.words.of([*text.lower().split(), END])
+    def of(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct token keys of a text column of an Arrow batch in order, the place there of each token, and the tokens of each text."""
+        found, at, n = word_hashes(column)
+        keys, place = np.unique(np.append(found, self.end), return_inverse=True)
+        return keys, place[np.insert(at, np.cumsum(n), len(found))], n + 1
 
-    def keys(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the tokens, and of each token with the one before."""
-        one = self.of(text)
-        return one, pairs_of(np.append(np.uint64(self.words[BEGIN]), one))
+    def pairs(self, one: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Keys of each token with the one before, from the keys of the tokens."""
+        before = np.roll(one, 1)
+        before[np.cumsum(n) - n] = self.begin
+        return pairs_of(before, one)
 
 
 def _counted(batches):
@@ -71,10 +75,11 @@ def _counted(batches):
                         ["pair", "key", "n"])
 
     for batch in batches:
-        for text in texts(batch.column("t")):
-            for kind, keys in enumerate(tokens.keys(text)):
-                held[kind].append(keys)
-            size += len(held[0][-1])
+        for some in portions(batch.column("t"), CHUNK):
+            keys, at, n = tokens.of(some)
+            held[0].append(keys[at])
+            held[1].append(tokens.pairs(held[0][-1], n))
+            size += len(at)
             if size >= CHUNK:
                 yield from flush()
                 size = 0
@@ -121,16 +126,16 @@ class Filter:
         live = np.argsort(segment.astype(np.uint16) if self.segments <= 1 << 16 else segment, kind="stable")
         key, base = keys[live], segment[live] * self.segment_bits
         for level in range(1, LEVELS):
-            h, step = mixed(key, 2 * level + 1), mixed(key, 2 * level + 2) | np.uint64(1)
             # Most keys that are not there end at the first probe; the rest takes the others.
+            h = mixed(key, 2 * level + 1)
             left = np.flatnonzero(self._set(base, h))
-            h, step, at = h[left], step[left], base[left]
+            live, key, base, h = live[left], key[left], base[left], h[left]
+            step = mixed(key, 2 * level + 2) | np.uint64(1)
             there = np.ones(len(left), bool)
             for _ in range(PROBES - 1):
-                h = h + step
-                there &= self._set(at, h)
-            left = left[there]
-            live, key, base = live[left], key[left], base[left]
+                h += step
+                there &= self._set(base, h)
+            live, key, base = live[there], key[there], base[there]
             if not len(live):
                 break
             out[live] = level
@@ -181,16 +186,14 @@ class Reader:
     def __init__(self, probes: Filter, lowest: int):
         self.tokens, self.probes, self.lowest = Tokens(), probes, lowest
 
-    def read(self, batch: list[bytes]) -> None:
-        each = [self.tokens.keys(t) for t in batch]
-        self.n = np.array([len(e[0]) for e in each], np.int64)
+    def read(self, column) -> None:
+        self.one, self.at_one, self.n = self.tokens.of(column)
         self.starts = np.cumsum(self.n) - self.n
-        self.one, self.at_one = np.unique(np.concatenate([e[0] for e in each]), return_inverse=True)
-        two, at_two = np.unique(np.concatenate([e[1] for e in each]), return_inverse=True)
+        two, at_two = np.unique(self.tokens.pairs(self.one[self.at_one], self.n), return_inverse=True)
         levels = [self.probes.level(keys) for keys in (self.one, two)]
         self.word, self.joint = (np.where(v >= self.lowest, v, 0).astype(np.uint8)[at] for v, at in zip(levels, (self.at_one, at_two)))
         # No entry of the filter is lost: what is below its lowest level is not in it.
-        self.open = pa.array([[]] * len(each), OPEN)
+        self.open = pa.array([[]] * len(self.n), OPEN)
         if self.lowest > 1:
             where = [np.flatnonzero(v == 0) for v in (self.word, self.joint)]
             token, key = np.concatenate(where), np.concatenate([self.one[self.at_one[where[0]]], two[at_two[where[1]]]])
@@ -356,7 +359,7 @@ def scored(
         known, counts = common.value
         logs = np.log10(counts + 0.5)
         for batch in batches:
-            own.read(texts(batch.column("t")))
+            own.read(batch.column("t"))
             n, starts, one, at_one = own.n, own.starts, own.one, own.at_one
             if len(known):
                 place = np.minimum(np.searchsorted(known, one), len(known) - 1)

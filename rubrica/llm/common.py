@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,13 @@ def texts(column) -> list[bytes]:
     return [v or b"" for v in column.cast("binary").to_pylist()]
 
 
+def portions(column, size: int):
+    """A text column of an Arrow batch in slices of about `size` bytes at most, but for longer texts."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(column)]
+    return [column.slice(a, b - a) for a, b in zip(edges, edges[1:]) if b > a]
+
+
 class WordHashes(dict):
     """64-bit hashes of words (UTF-8), remembered up to a bound."""
 
@@ -63,6 +72,24 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def word_hashes(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a text column of an Arrow batch, A-Z in lower case, NULL counting as empty.
+
+    Returns the hashes of the distinct words, as WordHashes has them, the place there of each word, one text
+    after the other, and the number of words of each text.  Only distinct words become Python objects.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    coded = split.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    at, n = coded.indices.to_numpy().astype(np.int64), split.value_lengths().to_numpy().astype(np.int64)
+    blank = np.flatnonzero(distinct == b"")
+    if len(blank):  # white space at the ends of a text, or a text of nothing else
+        there = at != blank[0]
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[there], minlength=len(n))
+        at = at[there]
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct)), at, n
+
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
