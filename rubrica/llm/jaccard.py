@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bloom_lm import Filter, build
-from .common import WordHashes, as_long, batches_of, free_prefix, materialise, ngram_hashes, texts
+from .bloom_lm import LOAD, Filter, build
+from .common import WordHashes, as_long, batches_of, free_prefix, materialise, ngram_hashes, portions, word_hashes
 from .components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -29,6 +30,9 @@ BROADCAST_IDS = 1 << 17
 EARLIER = 8
 #: Bits of the filter that finds the texts of candidates at most, for each of them, and of its segments (speed alone).
 WANTED_BITS, WANTED_EACH, WANTED_SEGMENT = 1 << 26, 32, 1 << 18
+#: Buckets that prefix shingles are dealt to so that those of one set alone are found, bytes of texts that are
+#: hashed at once, shingles that a task holds meanwhile, and bits of the filter of the others at most (speed alone).
+BUCKETS, TEXTS, HELD, MET_BITS = 1 << 10, 1 << 24, 1 << 21, 1 << 30
 #: Rows of a shingle's group in one tile, and rows of small tiles that are compared at once.
 TILE, CANDIDATE_ROWS = 4_096, 1 << 14
 
@@ -39,6 +43,17 @@ def shingles(words: WordHashes, text: bytes) -> np.ndarray:
     return np.unique(ngram_hashes(h, min(WORDS, len(h)))) if len(h) else h
 
 
+def sets_of(column):
+    """The shingles of each text of a column of an Arrow batch."""
+    for some in portions(column, TEXTS):
+        hashes, at, n = word_hashes(some)
+        words = hashes[at]
+        runs = ngram_hashes(words, WORDS)
+        for end, size in zip(np.cumsum(n).tolist(), n.tolist()):
+            start = end - size
+            yield np.unique(runs[start:end - WORDS + 1] if size >= WORDS else ngram_hashes(words[start:end], size) if size else words[:0])
+
+
 def fingerprint(sets: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(sets.tobytes()) - (1 << 63)
 
@@ -82,7 +97,7 @@ class Order:
 
 def _profiles(batches):
     """(i, n, set_id, bits, wide) of each text, and (shingle, seen) of those that the task meets often."""
-    words, held, seen, size = WordHashes(), [], set(), 0
+    held, seen, size = [], set(), 0
 
     def flush():
         found, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -95,7 +110,7 @@ def _profiles(batches):
     names, kind = ["i", "n", "set_id", "bits", "wide", "shingle", "seen"], None
     for batch in batches:
         kind = batch.column("i").type
-        sets = [shingles(words, t) for t in texts(batch.column("t"))]
+        sets = list(sets_of(batch.column("t")))
         ids = [fingerprint(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [batch.column("i"), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()),
@@ -114,6 +129,28 @@ def _profiles(batches):
         yield flush()
 
 
+def code_of(keys: np.ndarray) -> np.ndarray:
+    """The bucket of keys and 32 more of their bits.  Equal keys have equal codes."""
+    return keys >> np.uint64(64 - 32 - (BUCKETS.bit_length() - 1))
+
+
+def _dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+    """The codes of keys by bucket, 4 bytes each: those met here once, and twice those met more often."""
+    code, n = np.unique(code_of(np.concatenate(held)), return_counts=True)
+    code = np.repeat(code, np.minimum(n, 2))
+    edges = np.searchsorted(code, np.arange(BUCKETS + 1).astype(np.uint64) << np.uint64(32))
+    codes = pa.Array.from_buffers(
+        pa.binary(), BUCKETS, [None, pa.py_buffer((4 * edges).astype(np.int32)), pa.py_buffer(code.astype(np.uint32))])
+    there = pa.array(np.diff(edges) > 0)
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)).filter(there), codes.filter(there)], ["bucket", "codes"])
+
+
+def _several(key, pdf):
+    """The codes of a bucket that came more than once."""
+    codes, n = np.unique(np.frombuffer(b"".join(pdf["codes"]), np.uint32), return_counts=True)
+    return pd.DataFrame({"key": (key[0] << 32) + codes[n > 1].astype(np.int64), "n": 1})
+
+
 class Bitmaps:
     """Bitmaps of rows, as matrices by width.  A wide one folds to a narrow one by halves."""
 
@@ -281,10 +318,10 @@ def _verified(candidates: DataFrame, classes: DataFrame, rows: DataFrame) -> Dat
     passing = rows.sparkSession.sparkContext.broadcast(build(ids, max(1, segments) * WANTED_SEGMENT, WANTED_SEGMENT))
 
     def sets(batches):
-        words, known = WordHashes(), Filter(passing.value, WANTED_SEGMENT)
+        known = Filter(passing.value, WANTED_SEGMENT)
         for batch in batches:
             some = known.level(batch.column("h").to_numpy().view(np.uint64)) > 0
-            made = [shingles(words, t) for t in texts(batch.column("t").filter(pa.array(some)))]
+            made = list(sets_of(batch.column("t").filter(pa.array(some))))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([fingerprint(s) if len(s) else None for s in made], pa.int64()),
                  pa.array([as_long(s) for s in made], pa.list_(pa.int64()))], ["set_id", "elements"])
@@ -312,7 +349,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A set holds the distinct five-word shingles, A-Z in lower case; a shorter text is one
     shingle; a text without words has none and links with nothing.  Sets are compared as
     classes of equal sets (64-bit fingerprints of 64-bit shingle hashes).  Method: every
-    set goes into the tiles of its prefix shingles, ordered by size, so that a row meets
+    set goes into the tiles of those prefix shingles that several sets have, ordered by size, so that a row meets
     only rows of its size band; hashed bitmaps, as wide as the band asks, bound the overlap
     from above by a bit count; what is left is intersected exactly.  No link is lost.
 
@@ -323,7 +360,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     NULL texts count as empty.  A NULL id takes no part in links and is its own component;
     the smallest id names a component; repeated rows come back repeated.  An empty table
-    gives no rows.  The driver holds FREQUENT shingles with counts, which order prefixes.
+    gives no rows.  The driver holds FREQUENT shingles with counts, which order prefixes, and
+    a Bloom filter of MET_BITS at most over the shingles that several sets have; one that is too full lets more through.
     """
     spark = docs.sparkSession
     batches_of(spark)
@@ -341,28 +379,53 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rarest = np.lexsort((keys, seen))
     shared = spark.sparkContext.broadcast((keys[rarest], -(-seen[rarest] // TILE)))
 
-    def prefixes(batches):
-        words, done = WordHashes(), set()
-        frequent, parts = shared.value
-        order = Order(frequent)
+    def firsts(batches):
+        """The distinct sets of each batch: fingerprint, size, prefix, and ranks of its frequent shingles."""
+        done, order = set(), Order(shared.value[0])
         for batch in batches:
-            out = ([], [], [], [], [])
-            for i, text in zip(batch.column("i").to_pylist(), texts(batch.column("t"))):
-                s = shingles(words, text) if i is not None else ()
-                if not len(s) or (own := fingerprint(s)) in done:
+            found = []
+            for i, s in zip(batch.column("i").to_pylist(), sets_of(batch.column("t"))):
+                if i is None or not len(s) or (own := fingerprint(s)) in done:
                     continue
                 if len(done) >= SEEN:
                     done.clear()
                 done.add(own)
-                first, ranks = order.prefix(s)
-                for column, values in zip(out, (
-                        as_long(first), np.full(len(first), own), np.full(len(first), len(s)),
-                        most_of(len(s), np.arange(len(first))),
-                        np.where(ranks >= 0, parts[ranks], 1) if len(parts) else np.ones(len(first), np.int64))):
-                    column.append(values)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).astype(np.int64)) for c in out], ["key", "set_id", "n", "most", "parts"])
+                found.append((own, len(s), *order.prefix(s)))
+            yield found
+
+    def dealt(batches):
+        held, size = [], 0
+        for found in firsts(batches):
+            held += [first for _, _, first, _ in found]
+            size += sum(len(first) for _, _, first, _ in found)
+            if size >= HELD:
+                yield _dealt(held)
+                held, size = [], 0
+        if held:
+            yield _dealt(held)
+
+    # Most prefix shingles are of one set alone and meet no other: only the others move with their sets.
+    several = materialise(
+        rows.mapInArrow(dealt, "bucket long, codes binary").groupBy("bucket").applyInPandas(_several, "key long, n long"), "several")
+    segments = max(1, min(MET_BITS // WANTED_SEGMENT, -(-int(several.count() / LOAD) // WANTED_SEGMENT)))
+    meeting = spark.sparkContext.broadcast(build(several, segments * WANTED_SEGMENT, WANTED_SEGMENT))
+
+    def prefixes(batches):
+        parts, known = shared.value[1], Filter(meeting.value, WANTED_SEGMENT)
+        for found in firsts(batches):
+            if not found:
+                continue
+            own, n, first, ranks = zip(*found)
+            lengths = np.array([len(f) for f in first])
+            keys, ranks = np.concatenate(first), np.concatenate(ranks)
+            place = np.arange(len(keys)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            some = np.flatnonzero(known.level(code_of(keys)) > 0)
+            sizes = np.repeat(np.array(n, np.int64), lengths)[some]
+            columns = (
+                as_long(keys[some]), np.repeat(np.array(own, np.int64), lengths)[some], sizes, most_of(sizes, place[some]),
+                np.where(ranks[some] >= 0, parts[ranks[some]], 1) if len(parts) else np.ones(len(some), np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.astype(np.int64)) for c in columns], ["key", "set_id", "n", "most", "parts"])
 
     keyed = rows.mapInArrow(prefixes, "key long, set_id long, n long, most long, parts long").select(
         "key", F.when(F.col("parts") > 1, F.pmod(F.xxhash64("set_id"), "parts")).otherwise(F.lit(0)).cast("int").alias("part"),
