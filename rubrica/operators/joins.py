@@ -13,7 +13,7 @@ from ..schema import KEEP, REMOVE
 from ..sources.sinks import written
 
 #: A lookup of at most this many rows and bytes of text is sent to every executor.
-BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 64 << 20
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -22,11 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import KEY_MISSING, derive_keys, has_level, level_bit, prefix_group
+from ..functions.keys import (
+    KEY_MISSING, classify_level, derive_keys, has_level, level_bit, prefix_group, with_group_columns,
+)
 from ..functions.metadata import with_file_metadata
 from ..operators.groups import HASH, group_hash
 from ..operators.hierarchy import less, prepare_extract
 from ..operators.joins import Lookup, flag_units
+from ..operators.placement import OWN_UNIT, place_whole, tasks_to_move
 from ..schema import (
     CLASSIFIER, KEEP, METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, UNIT_KEY, Rules,
 )
@@ -48,6 +51,9 @@ def net_extract(
     known = {SOURCE_FILE, ROW_ORDER, *UNIT_KEY, CLASSIFIER, *metrics}
     extras = [c for c in typed.columns if c not in known]
     rows = prepare_extract(typed, units, rules)
+    tasks = tasks_to_move(with_group_columns(classify_level(typed), rules), _combine_key(rules))
+    if tasks is not None:
+        rows = _placed(rows, tasks, rules, metrics, extras)
     kept = _choose(
         _with_totals(_combine(rows, rules, metrics, extras), rules, metrics), rules, metrics
     )
@@ -68,18 +74,31 @@ def process_extracts(
     return with_file_metadata(net_extract(typed, units, rules, metrics), SOURCE_FILE, "fonte_reporte")
 
 
-def _combine(rows: DataFrame, rules: Rules, metrics, extras) -> DataFrame:
-    """Sums and first row per unit key, classifier prefix and level.
+def _combine_key(rules: Rules) -> list[str]:
+    """What rows are combined by.
 
     Rules that keep several classifiers of one prefix need the whole classifier
     in the key.
     """
-    keys = [*prefix_group(5), "ced_group"]
-    if rules.dedup_key != "prefix5":
-        keys.append(CLASSIFIER)
+    return [*prefix_group(5), "ced_group", *([CLASSIFIER] if rules.dedup_key != "prefix5" else [])]
+
+
+def _placed(rows: DataFrame, tasks: int, rules: Rules, metrics, extras) -> DataFrame:
+    """Rows moved whole, in the order of their groups, which the windows need as well."""
+    placed = classify_level(place_whole(rows, tasks, [*metrics, *extras]))
+    return placed.sortWithinPartitions(HASH, *_combine_key(rules))
+
+
+def _combine(rows: DataFrame, rules: Rules, metrics, extras) -> DataFrame:
+    """Sums and first row per unit key, classifier prefix and level.
+
+    Rows that are in the task of their group already stay there.
+    """
+    placed = HASH in rows.columns
+    keys = [*([HASH] if placed else []), *_combine_key(rules)]
     # The unit key is in the group already, unless it was blanked there.
-    own_unit = F.when(F.col(KEY_MISSING), F.struct(*UNIT_KEY))
-    payload = [own_unit.alias("unit"), CLASSIFIER, *metrics, *extras]
+    own = F.col(OWN_UNIT) if placed else F.when(F.col(KEY_MISSING), F.struct(*UNIT_KEY))
+    payload = [own.alias("unit"), CLASSIFIER, *metrics, *extras]
     first = F.min(F.struct(ROW_ORDER, *payload)).alias("__first")
     sums = [F.sum(m).alias(f"__sum_{m}") for m in metrics]
     return rows.groupBy(*keys).agg(first, F.count("*").alias("__n"), *sums)
@@ -93,8 +112,10 @@ def _with_totals(combined: DataFrame, rules: Rules, metrics) -> DataFrame:
     """Levels present and child sums of the two-, three- and four-digit group."""
     # One exchange and one sort; every window below needs a prefix of that order.  Report names begin alike,
     # so a hash leads the order and nearly always decides it.
-    h2 = group_hash(prefix_group(2))
-    placed = combined.repartition(*prefix_group(2)).withColumn(HASH, h2).sortWithinPartitions(HASH, *prefix_group(5))
+    placed = combined
+    if HASH not in combined.columns:
+        h2 = group_hash(prefix_group(2))
+        placed = combined.repartition(*prefix_group(2)).withColumn(HASH, h2).sortWithinPartitions(HASH, *prefix_group(5))
     w2, w3, w4 = (Window.partitionBy(HASH, *prefix_group(k)) for k in (2, 3, 4))
     level = F.col("ced_group")
 
