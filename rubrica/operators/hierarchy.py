@@ -11,10 +11,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import classify_level, derive_keys, has_level, level_bit, prefix_group, with_group_columns
-from ..schema import KEEP, METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, Rules
-from .groups import keep_first
+from ..functions.keys import (
+    GROUP_UNIT, KEY_MISSING, PREFIX_LENGTHS, classify_level, derive_keys, has_level, level_bit, prefix_group,
+    with_group_columns,
+)
+from ..schema import CLASSIFIER, KEEP, METRICS, PRODUCTION, ROW_ORDER, SOURCE_FILE, UNIT_KEY, Rules
+from .groups import HASH, keep_first
 from .joins import Lookup, filter_valid, flag_units, null_safe_join
+from .placement import OWN_UNIT, own_unit, place_whole, tasks_to_move
 
 PRIORITY = {"A": 1, "B": 2, "C": 3, "D": 4}
 #: The level whose rows are netted in groups of so many digits.
@@ -33,6 +37,22 @@ def prepare_extract(typed: DataFrame, units: DataFrame | Lookup, rules: Rules =
     return with_group_columns(classify_level(df), rules)
 
 
+#: What ``derive_keys`` and ``with_group_columns`` make of unit key and classifier.
+IDS = ("ugb_id", *[f"{name}_{k}{d}" for k in PREFIX_LENGTHS for name, d in (("ced_base", ""), ("id_row_ced", "d"))])
+GROUPING = (*GROUP_UNIT, KEY_MISSING, *[f"_c{k}" for k in PREFIX_LENGTHS])
+
+
+def _in_place(df: DataFrame, tasks: int) -> DataFrame:
+    """Prepared rows moved whole, in the order of their groups; the ids, which are long, stay behind."""
+    own = (SOURCE_FILE, ROW_ORDER, *UNIT_KEY, CLASSIFIER, *IDS, *GROUPING)
+    return place_whole(df, tasks, [c for c in df.columns if c not in own]).sortWithinPartitions(HASH, *prefix_group(5))
+
+
+def _with_ids(df: DataFrame) -> DataFrame:
+    """Rows moved whole with unit key and ids again."""
+    return derive_keys(df.withColumns(own_unit()))
+
+
 def _total(metric: str) -> str:
     return f"__sum_{metric}"
 
@@ -69,11 +89,15 @@ def collapse_pairs(df: DataFrame, pairs=tuple(PAIRS), metrics=METRICS) -> DataFr
     """Pairs of neighbouring levels, the upper less the lower, without a presence test.
 
     A row comes back once for each pair that holds its level, named in ``pair``;
-    all pairs together take two passes over the input.
+    all pairs together take two passes over the input.  Large input without hot groups moves
+    once, whole, and its totals are windows.
     """
     for pair in pairs:
         if pair not in PAIRS:
             raise ValueError(f"pair must be one of {sorted(PAIRS)}, not {pair!r}")
+    tasks = tasks_to_move(df)
+    if tasks is not None:
+        return _collapse_in_place(df, tasks, pairs, metrics)
     held = [F.when(F.col("ced_group").isin(*p), F.lit(p)) for p in pairs]
     rows = df.withColumns({
         "ced": F.trim("ced"), "pair": F.explode(F.array_compact(F.array(*held))),
@@ -85,6 +109,27 @@ def collapse_pairs(df: DataFrame, pairs=tuple(PAIRS), metrics=METRICS) -> DataFr
     return subtract_children(rows, [*prefix_group(1), "pair", "__prefix"], upper, metrics).drop("__prefix")
 
 
+def _collapse_in_place(df: DataFrame, tasks: int, pairs, metrics) -> DataFrame:
+    """``collapse_pairs`` with each row's totals from the windows of its pairs."""
+    ced, level = F.trim(CLASSIFIER), F.col("ced_group")
+    out = _in_place(df, tasks)
+    lines = []
+    for pair in pairs:
+        suffix, digits = PAIRS[pair]
+        held, upper = level.isin(*pair), ced.endswith(suffix)
+        over = Window.partitionBy(HASH, *prefix_group(digits))
+        total = {f"__group_{m}": F.sum(F.when(held & ~upper, F.col(m))).over(over) for m in metrics}
+        # As numbers, not as lines, so that rows between the windows stay narrow.
+        out = out.withColumns(total).withColumns({
+            f"__{pair}_{m}": F.when(held & upper, less(m, f"__group_{m}")) for m in metrics}).drop(*total)
+        net = [F.when(upper, F.col(f"__{pair}_{m}")).otherwise(F.col(m)).alias(m) for m in metrics]
+        lines.append(F.when(held & upper.isNotNull(), F.struct(*net, F.lit(pair).alias("pair"), upper.alias("is_parent"))))
+    out = out.withColumn("__line", F.explode(F.array_compact(F.array(*lines))))
+    out = _with_ids(out).withColumn(CLASSIFIER, ced)
+    return out.select(*[F.col(f"__line.{c}") if c in metrics else F.col(c) for c in df.columns],
+                      "__line.pair", "__line.is_parent")
+
+
 def collapse_one_level(df: DataFrame, pair: str, metrics=METRICS) -> DataFrame:
     """One pair of neighbouring levels; see ``collapse_pairs``."""
     return collapse_pairs(df, (pair,), metrics).drop("pair")
@@ -186,6 +231,24 @@ def _first_child(children: str, digits: int) -> Column:
     return out
 
 
+def _with_losses(rows: DataFrame, below, group, metrics) -> DataFrame:
+    """Rows with the levels and first children of their groups, and what their own level loses."""
+    level = F.col("ced_group")
+    # A row is a parent on its own level alone, so one total per metric is carried on.
+    off = {m: F.lit(None) for m in metrics}
+    for digits, children in below.items():
+        over = Window.partitionBy(*group(digits))
+        rows = rows.withColumn(f"__mask{digits}", F.bit_or("__bit").over(over))
+        rows = rows.withColumn(f"__child{digits}", _first_child(children, digits))
+        child = F.col(f"__child{digits}")
+        rows = rows.withColumns({f"__group_{m}": F.sum(F.when(level == child, F.col(m))).over(over) for m in metrics})
+        rows = rows.withColumns({
+            f"__less_{m}": F.when(level == PARENT[digits], F.col(f"__group_{m}")).otherwise(off[m]) for m in metrics})
+        rows = rows.drop(*[f"__group_{m}" for m in metrics])
+        off = {m: F.col(f"__less_{m}") for m in metrics}
+    return rows
+
+
 def union_levels(df: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS) -> DataFrame:
     """The four levels one below the other, with their priority.
 
@@ -193,27 +256,22 @@ def union_levels(df: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS) -> D
     side; sums and levels of the three- and two-digit groups come from those few rows.  The other
     joins every row to what its level loses and to the levels of its three groups, in a join whose hot
     groups AQE splits, and turns it into its lines: as a total on its own level, as a child on coarser ones.
+    Large input without hot groups moves once, whole, and the sums are windows.  Rows are those of ``prepare_extract``.
     """
     below = {2: "CBA", 3: "BA", 4: "A"}
     level = F.col("ced_group")
     g4 = prefix_group(4)
-    sums = df.groupBy(*g4, "ced_group").agg(*[F.sum(m).alias(m) for m in metrics])
-    sums = sums.withColumn("__bit", level_bit()).repartition(*prefix_group(2)).sortWithinPartitions(*g4)
-    # A row is a parent on its own level alone, so one total per metric is carried on.
-    off = {m: F.lit(None) for m in metrics}
-    for digits, children in below.items():
-        over = Window.partitionBy(*prefix_group(digits))
-        sums = sums.withColumn(f"__mask{digits}", F.bit_or("__bit").over(over))
-        sums = sums.withColumn(f"__child{digits}", _first_child(children, digits))
-        child = F.col(f"__child{digits}")
-        sums = sums.withColumns({f"__group_{m}": F.sum(F.when(level == child, F.col(m))).over(over) for m in metrics})
-        sums = sums.withColumns({
-            f"__less_{m}": F.when(level == PARENT[digits], F.col(f"__group_{m}")).otherwise(off[m]) for m in metrics})
-        sums = sums.drop(*[f"__group_{m}" for m in metrics])
-        off = {m: F.col(f"__less_{m}") for m in metrics}
-    told = [f"__{what}{digits}" for digits in below for what in ("mask", "child")]
-    stats = sums.filter(level.isNotNull()).select(*g4, "ced_group", *told, *[f"__less_{m}" for m in metrics])
-    rows = null_safe_join(df.filter(level.isNotNull()), stats, [*g4, "ced_group"])
+    tasks = tasks_to_move(df)
+    if tasks is None:
+        sums = df.groupBy(*g4, "ced_group").agg(*[F.sum(m).alias(m) for m in metrics])
+        sums = sums.withColumn("__bit", level_bit()).repartition(*prefix_group(2)).sortWithinPartitions(*g4)
+        sums = _with_losses(sums, below, prefix_group, metrics)
+        told = [f"__{what}{digits}" for digits in below for what in ("mask", "child")]
+        stats = sums.filter(level.isNotNull()).select(*g4, "ced_group", *told, *[f"__less_{m}" for m in metrics])
+        rows = null_safe_join(df.filter(level.isNotNull()), stats, [*g4, "ced_group"])
+    else:
+        placed = _in_place(df, tasks).withColumn("__bit", level_bit())
+        rows = _with_losses(placed, below, lambda digits: [HASH, *prefix_group(digits)], metrics).filter(level.isNotNull())
 
     own_a = F.struct(*[F.col(m).alias(m) for m in metrics], F.lit(None).cast("boolean").alias("is_parent"),
                      F.lit(0).alias("__branch"), F.lit(PRIORITY["A"]).alias("level_priority"))
@@ -224,6 +282,7 @@ def union_levels(df: DataFrame, rules: Rules = PRODUCTION, metrics=METRICS) -> D
         F.when((level == "A") & F.lit(rules.a_rows == "own_level"), own_a),
     ]
     out = rows.withColumn("__line", F.explode(F.array_compact(F.array(*lines))))
+    out = out if tasks is None else _with_ids(out)
     return out.select(*[F.col(f"__line.{c}") if c in metrics else F.col(c) for c in df.columns],
                       "__line.is_parent", "__line.__branch", "__line.level_priority")
 
@@ -235,6 +294,10 @@ def dedup_keys(rules: Rules) -> list[str]:
 
 
 def prioritise(levels: DataFrame, rules: Rules = PRODUCTION) -> DataFrame:
-    """One row per key: lowest priority number, then file order."""
+    """One row per key: lowest priority number, then file order.
+
+    The ids are made again for the rows that are kept, as they are long and say what unit key and classifier say.
+    """
     order = ("level_priority", "__branch", ROW_ORDER)
-    return keep_first(levels, dedup_keys(rules), order).drop("level_priority", "__branch")
+    kept = keep_first(levels.drop(*IDS), dedup_keys(rules), order)
+    return derive_keys(kept).select(*[c for c in levels.columns if c not in order[:2]])

@@ -30,17 +30,18 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def tasks_to_move(rows: DataFrame, key) -> int | None:
-    """In how many tasks rows are placed whole, or None if they are to be combined first.
+def tasks_to_move(rows: DataFrame, key=()) -> int | None:
+    """In how many tasks rows are placed whole, or None if they are to be combined, or to meet their totals, elsewhere.
 
-    ``rows`` have the columns of ``prefix_group(2)``; ``key`` is what they could be combined by.  Large input is
-    counted by buckets of two-digit groups, so a bucket is never smaller than its largest group.
+    ``rows`` have the columns of ``place_whole``; ``key`` is what they could be combined by, if they could.  Large
+    input is counted by buckets of two-digit groups, so a bucket is never smaller than its largest group.
     """
-    if _estimated_bytes(rows) < LARGE_BYTES:
+    needed = {*prefix_group(2), KEY_MISSING, ROW_ORDER, CLASSIFIER, *UNIT_KEY}
+    if not needed <= set(rows.columns) or _estimated_bytes(rows) < LARGE_BYTES:
         return None
     bucket = F.pmod(group_hash(prefix_group(2)), F.lit(BUCKETS))
-    per_bucket = rows.groupBy(bucket.alias("__bucket")).agg(
-        F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(*key), 0.2).alias("groups"))
+    groups = F.approx_count_distinct(F.xxhash64(*key), 0.2) if key else F.count("*")
+    per_bucket = rows.groupBy(bucket.alias("__bucket")).agg(F.count("*").alias("n"), groups.alias("groups"))
     largest, n, groups = per_bucket.agg(F.max("n"), F.sum("n"), F.sum("groups")).first()
     if (n or 0) < LEAST_ROWS or largest > max(HOT_ROWS, HOT_SHARE * n / BUCKETS) or n > MOST_PER_GROUP * groups:
         return None

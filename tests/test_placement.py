@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rubrica import schema as S
 from rubrica.functions.keys import classify_level, with_group_columns
+from rubrica.operators import hierarchy as H
 from rubrica.operators import joins as J
 from rubrica.operators import placement as P
 from rubrica.plans.net import _combine_key, net_extract
@@ -82,3 +83,21 @@ def test_unit_lists_are_sent_to_every_task_by_their_bytes(spark):
     codes = spark.range(500_000).select(F.concat(F.lit("50A"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("codigo_ugb"))
     out = J.filter_valid(typed(spark, [line(0, "111101", 1)]).withColumn("ugb_id", F.substring("ugb", 1, 9)), codes)
     assert "BroadcastHashJoin" in plan(out) and out.count() == 1
+
+
+@pytest.mark.parametrize("name", ["production", "second", "separate_unfiltered"])
+def test_level_tables_and_pairs_of_rows_moved_whole(spark, monkeypatch, name):
+    rules = RULES[name]
+    df = typed(spark, many_extracts(name)).withColumn("nota", F.col("row_order") + 10)
+    rows = H.prepare_extract(df, units(spark), rules)
+
+    def run():
+        levels = H.union_levels(rows, rules, [METRIC])
+        return H.collapse_pairs(rows, metrics=[METRIC]), levels, H.prioritise(levels, rules)
+
+    joined = run()
+    monkeypatch.setattr(P, "LARGE_BYTES", 0)
+    monkeypatch.setattr(P, "LEAST_ROWS", 0)
+    for before, after in zip(joined, run()):
+        assert moves(after) == 1 < moves(before)
+        assert after.columns == before.columns and result(after.collect()) == result(before.collect())
